@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference is batch-only (no readStream, watermarks, windows or state).  Fitted
+``PipelineModel`` objects from :mod:`tabsift.operators.model` are Spark ML transformers and score a
+streaming DataFrame with ``model.transform`` unchanged, so no streaming-specific operator is needed.
+"""

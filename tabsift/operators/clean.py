@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from tabsift.functions.exprs import INF, is_fractional, is_missing, is_non_finite, qcol, typed_lit
 from tabsift.operators.profile import constant_column_names, sentinel_match
-from tabsift.session import materialize
 from tabsift.spec import DEFAULT_SENTINELS
 
 
@@ -141,67 +140,137 @@ def fill_category(df: DataFrame, cols: Iterable[str], value: str = "unknown") ->
     return _replace(df, {c: F.coalesce(qcol(c), F.lit(value)) for c in _check_present(df, cols)})
 
 
-def _exact_medians_one_type(df: DataFrame, cols: list[str], partitions: int) -> dict[str, object]:
-    """Exact lower medians (``percentile_disc(0.5)``) of same-typed columns, fully distributed.
+# Exact medians: ranks are narrowed with approximate-quantile brackets until few candidates are left.
+PICK_LIMIT = 1_000_000   # at most this many present values per column reach the final exact pick
+QUANTILE_GRID = 200      # bracket points asked of each sketch per pass
+SKETCH_ACCURACY = 2_000  # percentile_approx accuracy (rank error <= n / accuracy); ~160x narrower per pass
+MAX_ROUNDS = 8
 
-    1. unpivot to (column id, value), drop missing, count per distinct value (map-side partial agg,
-       so a value held by a third of the rows is one row per task);
-    2. range-partition the (column, value, count) table so partition ids follow value order, tag the
-       partition id and checkpoint it (frozen, shared storage);
-    3. per (column, partition) totals -- at most columns x partitions rows -- locate for each column the
-       partition holding rank ceil(n/2) and the rank inside it;
-    4. scan only those partitions: running count ordered by value, first value reaching the rank.
-    No column's values ever meet in one task or on the driver.
+
+def _in_range(c: Column, dtype: T.DataType, lo, hi) -> Column:
+    cond = ~is_missing(c, dtype)
+    if lo is not None:
+        cond = cond & (c >= typed_lit(lo, dtype))
+    if hi is not None:
+        cond = cond & (c <= typed_lit(hi, dtype))
+    return cond
+
+
+def _exact_medians(df: DataFrame, cols: list[str], pick_limit: int = PICK_LIMIT) -> dict[str, object]:
+    """Exact lower medians (``percentile_disc(0.5)``, rank ceil(n/2) of the present values).
+
+    Each pass is one aggregate over the data for all columns at once: for every column the exact count
+    of present values below the current bracket and inside it, and a ``percentile_approx`` sketch of
+    the values inside it (bounded memory per task).  The sketch's rank error (n / accuracy) gives a
+    new, ~800x narrower bracket that provably still holds the target rank; the next pass re-counts
+    exactly, so a bracket is always verified.  Once a bracket holds at most ``pick_limit`` values (or
+    a single value, e.g. a value held by a third of the rows) a last pass counts the distinct
+    candidates and takes the running count per column.  Only scans and small aggregates: no shuffle
+    of the data, nothing unbounded in one task or on the driver.
     """
-    dtype = df.schema[cols[0]].dataType
-    cells = F.inline(
-        F.array(*[F.struct(F.lit(i).alias("cid"), qcol(c).alias("v")) for i, c in enumerate(cols)])
-    )
-    long = df.select(cells)
-    long = long.where(~is_missing(F.col("v"), dtype))
-    counted = long.groupBy("cid", "v").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    ranged = materialize(
-        counted.repartitionByRange(partitions, "cid", "v").withColumn("pid", F.spark_partition_id())
-    )
-    totals = ranged.groupBy("cid", "pid").agg(F.sum("n").alias("n")).collect()
-    per_col: dict[int, list[tuple[int, int]]] = {}
-    for r in totals:
-        per_col.setdefault(r["cid"], []).append((r["pid"], r["n"]))
-    targets = {}  # cid -> (pid, rank inside the partition)
-    for cid, parts in per_col.items():
-        parts.sort()
-        n_total = sum(n for _, n in parts)
-        rank = max(1, math.ceil(n_total / 2))
-        before = 0
-        for pid, n in parts:
-            if before + n >= rank:
-                targets[cid] = (pid, rank - before)
-                break
-            before += n
-    if not targets:
-        return {}
-    pick = F.lit(False)
-    rank_expr = None
-    for cid, (pid, rank) in targets.items():
-        pick = pick | ((F.col("cid") == cid) & (F.col("pid") == pid))
-        rank_expr = (F.when(F.col("cid") == cid, F.lit(rank)) if rank_expr is None
-                     else rank_expr.when(F.col("cid") == cid, F.lit(rank)))
+    types = {c: df.schema[c].dataType for c in cols}
+    state = {c: {"lo": None, "hi": None, "rank": None, "prev": None} for c in cols}
+    grid = [j / QUANTILE_GRID for j in range(QUANTILE_GRID + 1)]
+    result: dict[str, object] = {}
+    # cheap first pass: present-value counts; small columns skip the sketches and go to the pick
+    counts = df.agg(*[F.count_if(~is_missing(qcol(c), types[c])).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    active = []
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        if n == 0:
+            result[c] = None
+            continue
+        state[c]["rank"] = max(1, math.ceil(n / 2))
+        state[c]["prev"] = (None, None)
+        if n > pick_limit:
+            active.append(c)
+    for _ in range(MAX_ROUNDS):
+        if not active:
+            break
+        aggs = []
+        for i, c in enumerate(active):
+            st, dtype, v = state[c], types[c], qcol(c)
+            inside = _in_range(v, dtype, st["lo"], st["hi"])
+            below = ~is_missing(v, dtype) & (v < typed_lit(st["lo"], dtype)) if st["lo"] is not None else F.lit(False)
+            aggs += [
+                F.count_if(below).alias(f"b{i}"),
+                F.count_if(inside).alias(f"n{i}"),
+                F.percentile_approx(F.when(inside, v).cast("double"), grid, SKETCH_ACCURACY).alias(f"q{i}"),
+            ]
+        row = df.agg(*aggs).first()
+        still = []
+        for i, c in enumerate(active):
+            st = state[c]
+            below, inside, qs = row[f"b{i}"], row[f"n{i}"], row[f"q{i}"]
+            r = st["rank"] - below
+            if not 1 <= r <= inside:  # bracket failed its exact check: go back one step, pick there
+                st["lo"], st["hi"] = st["prev"]
+                st["final"] = True
+                continue
+            st["local"] = r
+            if inside <= pick_limit or qs is None or qs[0] == qs[-1]:
+                st["final"] = True
+                continue
+            err = inside / SKETCH_ACCURACY
+            j_lo = max(0, math.floor((r - 2 * err) / inside * QUANTILE_GRID) - 1)
+            j_hi = min(QUANTILE_GRID, math.ceil((r + 2 * err) / inside * QUANTILE_GRID) + 1)
+            st["prev"] = (st["lo"], st["hi"])
+            st["lo"] = None if j_lo == 0 else qs[j_lo]
+            st["hi"] = None if j_hi == QUANTILE_GRID else qs[j_hi]
+            if st["lo"] is not None and isinstance(types[c], T.IntegralType):
+                st["lo"] = math.floor(st["lo"])
+            if st["hi"] is not None and isinstance(types[c], T.IntegralType):
+                st["hi"] = math.ceil(st["hi"])
+            still.append(c)
+        active = still
+    for c in active:  # rounds exhausted: pick inside the last verified bracket
+        state[c]["lo"], state[c]["hi"] = state[c]["prev"]
+    finals = [c for c in cols if c not in result]
+    by_type: dict[str, list[str]] = {}
+    for c in finals:  # one pick pass for every type that converts to double exactly
+        key = "double" if isinstance(types[c], _DOUBLE_EXACT) else types[c].simpleString()
+        by_type.setdefault(key, []).append(c)
+    for key, group in by_type.items():
+        picked = _pick(df, group, types, state, T.DoubleType() if key == "double" else types[group[0]])
+        for c, v in picked.items():
+            result[c] = int(v) if isinstance(types[c], T.IntegralType) and v is not None else v
+    return result
+
+
+_DOUBLE_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
+
+
+def _pick(df: DataFrame, cols: list[str], types: dict, state: dict, common: T.DataType) -> dict[str, object]:
+    """Final exact pick for columns sharing ``common`` type: distinct candidates with counts, running
+    count per column (each column's candidates are bounded by the pick limit)."""
+    cells = F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("cid"),
+            F.when(_in_range(qcol(c), types[c], state[c]["lo"], state[c]["hi"]), qcol(c).cast(common)).alias("v"),
+        )
+        for i, c in enumerate(cols)
+    ]))
+    counted = df.select(cells).where(F.col("v").isNotNull()).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
+    rank = None
+    for i, c in enumerate(cols):
+        r = F.lit(state[c].get("local") or state[c]["rank"])
+        rank = F.when(F.col("cid") == i, r) if rank is None else rank.when(F.col("cid") == i, r)
     w = Window.partitionBy("cid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (
-        ranged.where(pick)
-        .withColumn("cum", F.sum("n").over(w))
-        .where(F.col("cum") >= rank_expr)
-        .groupBy("cid")
-        .agg(F.min("v").alias("median"))
+        counted.withColumn("cum", F.sum("n").over(w))
+        .where((F.col("cum") >= rank) & (F.col("cum") - F.col("n") < rank))
+        .select("cid", "v")
         .collect()
     )
-    return {cols[r["cid"]]: r["median"] for r in found}
+    return {cols[r["cid"]]: r["v"] for r in found}
 
 
-def medians(df: DataFrame, cols: Sequence[str], exact: bool = True, relative_error: float = 0.001) -> dict[str, object]:
+def medians(
+    df: DataFrame, cols: Sequence[str], exact: bool = True, relative_error: float = 0.001, pick_limit: int = PICK_LIMIT
+) -> dict[str, object]:
     """Median of each column over its non-missing values (null/NaN ignored); None if none.
 
-    ``exact=True``: lower median by distributed selection (see ``_exact_medians_one_type``).
+    ``exact=True``: lower median by bracket narrowing (see ``_exact_medians``).
     ``exact=False``: ``percentile_approx`` for all columns in one pass (rank error <= relative_error).
     """
     cols = list(cols)
@@ -216,13 +285,8 @@ def medians(df: DataFrame, cols: Sequence[str], exact: bool = True, relative_err
             aggs.append(F.percentile_approx(v, 0.5, accuracy).alias(f"m_{i}"))
         row = df.agg(*aggs).first()
         return {c: row[f"m_{i}"] for i, c in enumerate(cols)}
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_type: dict[str, list[str]] = {}
-    for c in cols:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
     out: dict[str, object] = {c: None for c in cols}
-    for group in by_type.values():
-        out.update(_exact_medians_one_type(df, group, partitions))
+    out.update(_exact_medians(df, cols, pick_limit))
     return out
 
 
@@ -263,11 +327,15 @@ def impute(
 # ---------------------------------------------------------------- constants, duplicates, ranges
 
 
+def zero_where_present(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """Named columns become 0 (typed) where not null; null stays null."""
+    exprs = {c: F.when(qcol(c).isNotNull(), typed_lit(0, df.schema[c].dataType)) for c in _check_present(df, cols)}
+    return _replace(df, exprs)
+
+
 def neutralize_constant(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """Constant numeric columns (P7) become 0 where not null."""
-    const = constant_column_names(df, cols)
-    exprs = {c: F.when(qcol(c).isNotNull(), typed_lit(0, df.schema[c].dataType)) for c in const}
-    return _replace(df, exprs)
+    return zero_where_present(df, constant_column_names(df, cols))
 
 
 def drop_constant(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -323,4 +391,5 @@ __all__ = [
     "normalized_names",
     "replace_non_finite",
     "replace_sentinels",
+    "zero_where_present",
 ]

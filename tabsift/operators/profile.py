@@ -23,11 +23,12 @@ def _fields(df: DataFrame, columns: Iterable[str] | None) -> list[T.StructField]
     return [df.schema[n] for n in names]
 
 
-def _long_form(wide: DataFrame, rows: list[Column]) -> DataFrame:
-    """One row per struct in ``rows`` from a one-row aggregate."""
+def _long_form(df: DataFrame, aggs: list[Column], rows: list[Column], empty_schema: str) -> DataFrame:
+    """One row per struct in ``rows`` from the one-row aggregate ``df.agg(*aggs)``; no columns to
+    profile gives an empty table of ``empty_schema`` (no job)."""
     if not rows:
-        raise ValueError("no columns to profile")
-    return wide.select(F.inline(F.array(*rows)))
+        return df.sparkSession.createDataFrame([], empty_schema)
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def sentinel_match(c: Column, sentinels: Sequence[str], ignore_case: bool = False) -> Column:
@@ -77,7 +78,8 @@ def profile_columns(
                 inf.cast("bigint").alias("n_inf"),
             )
         )
-    return _long_form(df.agg(*aggs), rows)
+    return _long_form(df, aggs, rows, "column string, data_type string, n_null bigint, n_sentinel bigint, "
+                      "n_nan bigint, n_inf bigint")
 
 
 def _uncastable(c: Column, target: T.DataType) -> Column:
@@ -101,7 +103,7 @@ def profile_uncastable(df: DataFrame, schema: T.StructType) -> DataFrame:
         )
         for i, f in enumerate(targets)
     ]
-    return _long_form(df.agg(*aggs), rows)
+    return _long_form(df, aggs, rows, "column string, target_type string, n_uncastable bigint")
 
 
 def sample_uncastable(df: DataFrame, column: str, target: T.DataType | str, n: int = 5) -> DataFrame:
@@ -156,12 +158,15 @@ def constant_columns(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
                 (sd.isNull() | (sd == F.lit(0.0))).alias("is_constant"),
             )
         )
-    return _long_form(df.agg(*aggs), rows)
+    return _long_form(df, aggs, rows, "column string, stddev double, is_constant boolean")
 
 
 def constant_column_names(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:
     """Names of the constant columns (one job; at most one row per column reaches the driver)."""
-    return [r["column"] for r in constant_columns(df, columns).where("is_constant").collect()]
+    cols = None if columns is None else list(columns)
+    if cols == []:
+        return []
+    return [r["column"] for r in constant_columns(df, cols).where("is_constant").collect()]
 
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:

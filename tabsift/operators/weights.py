@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tabsift.functions.exprs import qcol
 from tabsift.operators.profile import label_counts
 
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 100_000  # label + double per row: a few MB at most
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -12,16 +12,16 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.operators import clean as C
 from tabsift.operators.encode import fit_indexer, with_handle_invalid
 from tabsift.operators.evaluate import compare_configs
 from tabsift.operators.features import explained_variance, select_top_features
-from tabsift.operators.profile import profile_columns
+from tabsift.operators.profile import constant_column_names, profile_columns, profile_uncastable
 from tabsift.operators.split import split
 from tabsift.operators.weights import class_weights, with_class_weight
+from tabsift.session import materialize
 from tabsift.spec import ForestConfig, TableSpec, default_configs
 
 
@@ -47,27 +47,29 @@ class Cleaned:
     after: DataFrame
 
 
-def clean(df: DataFrame, spec: TableSpec, impute_exact: bool = True) -> Cleaned:
+def clean(df: DataFrame, spec: TableSpec, impute_exact: bool = True, checkpoint: bool = True) -> Cleaned:
     """Cast -> report uncastable -> dedup -> impute -> non-finite -> categories -> constants ->
-    clamp -> profile.  Returns the cleaned frame plus the reports as DataFrames."""
+    clamp -> profile.  Returns the cleaned frame plus the reports as DataFrames.
+
+    The statistics (medians, constant columns) are each one aggregate pass over the de-duplicated
+    table; with ``checkpoint`` that table is written once to the shared checkpoint folder so the
+    de-duplication shuffle is not repeated for every pass (nor after a lost executor).
+    """
     uncastable = None
     if spec.schema is not None:
-        from tabsift.operators.profile import profile_uncastable
-
         uncastable = profile_uncastable(df, spec.schema)
         df = C.cast_to_schema(df, spec.schema)
     df = C.deduplicate(df)
+    if checkpoint:
+        df = materialize(df)
     numerics = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, T.NumericType) and f.name not in (spec.label, spec.key)]
     df = C.impute(df, numerics, "median", exact=impute_exact)
     df = C.replace_non_finite(df, numerics, 0.0)
     cats = [c for c in (*spec.categoricals, spec.label) if c in df.columns]
     df = C.fill_category(df, cats, "unknown")
-    from tabsift.operators.profile import constant_column_names
-
     constant = constant_column_names(df, numerics)
-    if constant:
-        df = C._replace(df, {c: F.when(C.qcol(c).isNotNull(), C.typed_lit(0, df.schema[c].dataType)) for c in constant})
+    df = C.zero_where_present(df, constant)
     present = [c for c in spec.non_negative if c in df.columns]
     if present:
         df = C.clamp_min(df, present, 0)
@@ -91,14 +93,23 @@ def prepare(
     select_n: int | None = 50,
     weight_col: str = "class_weight",
     select_weighted: bool = False,
+    checkpoint: bool = True,
 ) -> Prepared:
-    """Drop -> split by key -> index label (fit on train) -> cast features -> class weights (from
-    train) -> top-N features by forest importance (fitted on train)."""
+    """Drop -> cast features -> split by key -> index label (fit on train) -> class weights (from
+    train) -> top-N features by forest importance (fitted on train).
+
+    With ``checkpoint`` the narrow modelling table (key, label, numeric features) is written once to
+    the shared checkpoint folder: the label index, the weights, the selection forest and every config
+    fit then read it instead of recomputing features from the source (for text input, a re-read of
+    every whole text per fit), and a lost executor re-reads it rather than the lineage.
+    """
     if spec.key is None:
         raise ValueError("prepare needs spec.key for a reproducible split")
     df = C.drop_columns(df, spec.drop + spec.categoricals)
     features = spec.feature_columns(df.columns)
-    df = C.cast_columns(df, features, "double")
+    df = C.cast_columns(df, features, "double").select(spec.key, spec.label, *features)
+    if checkpoint:
+        df = materialize(df)
     train, test = split(df, spec.key, spec.split_ratio, spec.seed)
     label_col = f"{spec.label}_index"
     indexer = fit_indexer(train, [spec.label], "error", output_cols=[label_col])

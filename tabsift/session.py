@@ -37,8 +37,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage of a (small, derived) DataFrame with a reliable checkpoint in the shared folder.
 
-    Used for aggregates that are read by several later steps, so the scan behind them runs once and a
-    lost executor does not force recomputation from the source.
+    Used for tables that are read by several later steps, so the scan behind them runs once and a
+    lost executor does not force recomputation from the source.  The input is persisted while the
+    checkpoint is written: an eager checkpoint runs one job to compute and another to write, and
+    without the persist the second would recompute every stage after the last shuffle (for a
+    shuffle-free plan, the whole scan).
     """
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

@@ -207,3 +207,20 @@ def test_drop_non_finite_rows_on_vector(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),), (Vectors.dense([NAN, 1.0]),), (Vectors.dense([INF, 0.0]),)], ["v"])
     assert C.drop_non_finite_rows(df, "v").count() == 1
     assert P.count_non_finite_rows(df, "v").first()["n_non_finite"] == 2
+
+
+@pytest.mark.parametrize("pick_limit", [50, 1_000_000])
+def test_exact_median_narrowing_matches_sorting(spark, pick_limit):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(20000):
+        hot = 42.0 if i % 3 == 0 else rnd.lognormvariate(0, 2)  # a third of rows hold one value
+        rows.append((hot, rnd.randint(-1000, 1000) if i % 11 else None, rnd.random(), float(i % 5)))
+    rows.append((float("inf"), 5, NAN, 1.0))
+    df = spark.createDataFrame(rows, "h double, k int, u double, s double").repartition(5)
+    got = C.medians(df, ["h", "k", "u", "s"], exact=True, pick_limit=pick_limit)
+    for j, c in enumerate(["h", "k", "u", "s"]):
+        vals = sorted(r[j] for r in rows if r[j] is not None and not (isinstance(r[j], float) and math.isnan(r[j])))
+        assert got[c] == vals[math.ceil(len(vals) / 2) - 1], c

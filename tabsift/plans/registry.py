@@ -35,6 +35,7 @@ from tabsift.sources.delimited import read_delimited, verify_roundtrip, write_de
 from tabsift.sources.fixtures import (
     DIRTY_ORDERS_SQL,
     DIRTY_SCHEMA,
+    DOC_FEATURES,
     dirty_orders,
     document_features,
     document_features_sql,
@@ -582,10 +583,25 @@ def _doc_train_test(spark, sf):
     return prepared
 
 
-@register("prepare_lang")
+def _prepare_sql() -> str:
+    feats = ", ".join(f"CAST(tr.{f} AS DOUBLE) AS {f}" for f in DOC_FEATURES)
+    return f"""
+WITH {DOCS_CTE},
+tr AS (SELECT * FROM docs WHERE {SPLIT_BUCKET_SQL.format(k='doc_id')} < 800),
+m AS (SELECT lang AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, lang) - 1 AS DOUBLE) AS idx,
+             COUNT(*) AS n FROM tr GROUP BY lang),
+w AS (SELECT idx, CAST((SELECT SUM(n) FROM m) AS DOUBLE) / ((SELECT COUNT(*) FROM m) * n) AS weight FROM m)
+SELECT tr.doc_id, tr.lang, m.idx AS lang_index, ROUND(w.weight, 6) AS class_weight, {feats}
+FROM tr JOIN m ON tr.lang = m.v JOIN w ON m.idx = w.idx
+"""
+
+
+# with 10 features and n=50 every feature is kept (selection only orders them), so the train table
+# is SQL-expressible: hash split, label index and class weights fitted on train
+@register("prepare_lang", _prepare_sql())
 def q_prepare(spark, sf):
     p = prepare(_docs(spark, sf), DOC_SPEC, select_n=50)
-    return p.train.select("doc_id", "lang", p.label_col, "class_weight", *p.features)
+    return p.train.select("doc_id", "lang", p.label_col, r6(F.col("class_weight")).alias("class_weight"), *p.features)
 
 
 @register("select_top_features_lang")
@@ -647,7 +663,48 @@ def q_run(spark, sf):
     return run(_docs(spark, sf), DOC_SPEC).scores.drop("fit_seconds")
 
 
-@register("clean_dirty_orders")
+def _clean_sql() -> str:
+    s_ = SENTINELS_SQL
+    nums = ["qty_txt", "price_txt", "price_dbl", "cust_int", "const_dbl", "empty_dbl"]
+    doubles = {"price_txt", "price_dbl", "const_dbl", "empty_dbl"}
+    missing = {c: (f"({c} IS NULL OR isnan({c}))" if c in doubles else f"{c} IS NULL") for c in nums}
+    med = ", ".join(
+        f"quantile_disc({c}, 0.5) FILTER (WHERE NOT {missing[c]}) AS m_{c}" for c in nums
+    )
+    fixed = []
+    for c in nums:
+        zero = "CAST(0 AS DOUBLE)" if c in doubles else "0"
+        filled = f"CASE WHEN {missing[c]} THEN COALESCE((SELECT m_{c} FROM m), {zero}) ELSE {c} END"
+        if c in doubles:
+            filled = f"CASE WHEN isinf({filled}) THEN {zero} ELSE {filled} END"
+        fixed.append(f"{filled} AS {c}")
+    sd = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in nums)
+    final = []
+    for c in nums:
+        zero = "CAST(0 AS DOUBLE)" if c in doubles else "0"
+        v = (f"CASE WHEN (SELECT s_{c} FROM s) IS NULL OR (SELECT s_{c} FROM s) = 0 "
+             f"THEN CASE WHEN {c} IS NOT NULL THEN {zero} END ELSE {c} END")
+        if c == "price_dbl":
+            v = f"CASE WHEN ({v}) < 0 THEN {zero} ELSE ({v}) END"
+        final.append(f"{v} AS {c}")
+    return f"""
+WITH {DIRTY_CTE},
+n AS (SELECT o_orderkey,
+  CASE WHEN lower(status_txt) IN {s_} THEN NULL ELSE lower(status_txt) END AS status_txt,
+  CASE WHEN lower(priority) IN {s_} THEN NULL ELSE lower(priority) END AS priority,
+  TRY_CAST(CASE WHEN qty_txt IN {s_} THEN NULL ELSE qty_txt END AS INTEGER) AS qty_txt,
+  TRY_CAST(CASE WHEN price_txt IN {s_} THEN NULL ELSE price_txt END AS DOUBLE) AS price_txt,
+  price_dbl, cust_int, const_dbl, empty_dbl FROM dirty_orders),
+d AS (SELECT DISTINCT * FROM n),
+m AS (SELECT {med} FROM d),
+f AS (SELECT o_orderkey, COALESCE(status_txt, 'unknown') AS status_txt, COALESCE(priority, 'unknown') AS priority,
+        {", ".join(fixed)} FROM d),
+s AS (SELECT {sd} FROM f)
+SELECT o_orderkey, status_txt, priority, {", ".join(final)} FROM f
+"""
+
+
+@register("clean_dirty_orders", _clean_sql())
 def q_clean(spark, sf):
     d = _dirty(spark, sf)
     spec = TableSpec(label="status_txt", key="o_orderkey", categoricals=("priority",), schema=DIRTY_SCHEMA,

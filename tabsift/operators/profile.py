@@ -142,20 +142,28 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def constant_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """``column, stddev, is_constant`` (sample stddev 0 or null).
+    """``column, stddev, is_constant`` -- constant means sample stddev 0 or null.
 
-    NaN/Inf make the stddev NaN, which is *not* constant, so clean first.
+    ``is_constant`` is decided exactly, not from the floating-point stddev: Spark's merge of partial
+    variance buffers can leave ~1e-12 on a column of one repeated value (the mean of a merge with an
+    empty buffer is rebuilt as x/n*n).  Exact equivalent: at most one non-null value, or min == max
+    with a finite value (any NaN or Inf makes the stddev NaN, which is not constant).
     """
     fields = [f for f in _fields(df, columns) if isinstance(f.dataType, T.NumericType)]
-    aggs = [F.stddev_samp(qcol(f.name)).alias(f"sd_{i}") for i, f in enumerate(fields)]
-    rows = []
+    aggs, rows = [], []
     for i, f in enumerate(fields):
-        sd = F.col(f"sd_{i}")
+        c = qcol(f.name)
+        aggs += [F.stddev_samp(c).alias(f"sd_{i}"), F.count(c).alias(f"n_{i}"),
+                 F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}")]
+        lo, hi = F.col(f"lo_{i}"), F.col(f"hi_{i}")
+        same = lo == hi
+        if is_fractional(f.dataType):
+            same = same & ~F.isnan(lo) & ~lo.isin(INF, -INF)
         rows.append(
             F.struct(
                 F.lit(f.name).alias("column"),
-                sd.alias("stddev"),
-                (sd.isNull() | (sd == F.lit(0.0))).alias("is_constant"),
+                F.col(f"sd_{i}").alias("stddev"),
+                ((F.col(f"n_{i}") <= 1) | same).alias("is_constant"),
             )
         )
     return _long_form(df, aggs, rows, "column string, stddev double, is_constant boolean")

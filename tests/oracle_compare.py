@@ -40,6 +40,12 @@ def _key(row):
     return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0) for x in row)
 
 
+SPARK_FAMILY = {"int": "int32", "smallint": "int32", "tinyint": "int32", "bigint": "int64", "double": "double",
+                "float": "float", "string": "string", "boolean": "bool"}
+DUCK_FAMILY = {"INTEGER": "int32", "SMALLINT": "int32", "TINYINT": "int32", "BIGINT": "int64", "DOUBLE": "double",
+               "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "bool"}
+
+
 def compare(spark, con, name, sf_dir):
     from tabsift.plans.registry import ORACLE_SQL, QUERIES
 
@@ -52,6 +58,12 @@ def compare(spark, con, name, sf_dir):
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns {sorted(s_cols)} vs {sorted(d_cols)}")
+    else:
+        s_types = {c: SPARK_FAMILY.get(t, t) for c, t in sdf.dtypes}
+        d_types = {c: DUCK_FAMILY.get(str(t), str(t)) for c, t in zip(d_cols, rel.types)}
+        diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+        if diff:
+            problems.append(f"types {diff}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows {len(s_rows)} vs {len(d_rows)}")
     if not problems:

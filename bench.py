@@ -79,9 +79,11 @@ def main() -> None:
     results: dict[str, float] = {}
     for name in [
         "profile_columns_dirty_orders",
+        "profile_columns_dirty_lineitem",
         "profile_uncastable_dirty_orders",
         "constant_columns_dirty_orders",
         "impute_median_dirty_orders",
+        "impute_median_dirty_lineitem",
         "clean_dirty_orders",
         "deduplicate_orders",
         "split_orders",

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsift.operators import clean as C
 from tabsift.operators import profile as P
@@ -33,9 +34,11 @@ from tabsift.plans.recipes import clean, normalize, prepare, run
 from tabsift.session import scratch_path
 from tabsift.sources.delimited import read_delimited, verify_roundtrip, write_delimited
 from tabsift.sources.fixtures import (
+    DIRTY_LINEITEM_SQL,
     DIRTY_ORDERS_SQL,
     DIRTY_SCHEMA,
     DOC_FEATURES,
+    dirty_lineitem,
     dirty_orders,
     document_features,
     document_features_sql,
@@ -207,6 +210,89 @@ def q_sample_rows(spark, sf):
     return P.sample_rows(o, 10, ["o_orderkey"])
 
 
+LINEITEM_CTE = DIRTY_LINEITEM_SQL.strip()
+LINEITEM_TYPES = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("qty_txt", "string"), ("price_dbl", "double"),
+                  ("flag", "string"), ("l_discount", "double"), ("l_tax", "double")]
+
+
+def _dirty_li(spark, sf):
+    return dirty_lineitem(load_table(spark, sf, "lineitem"))
+
+
+def _profile_sql(cte: str, table: str, types) -> str:
+    parts = []
+    for name, typ in types:
+        sent = f"COUNT(*) FILTER (WHERE {name} IN {SENTINELS_SQL})" if typ == "string" else "0"
+        nan = f"COUNT(*) FILTER (WHERE isnan({name}))" if typ == "double" else "0"
+        inf = f"COUNT(*) FILTER (WHERE isinf({name}))" if typ == "double" else "0"
+        parts.append(
+            f"SELECT '{name}' AS \"column\", '{typ}' AS data_type, "
+            f"CAST(COUNT(*) FILTER (WHERE {name} IS NULL) AS BIGINT) AS n_null, CAST({sent} AS BIGINT) AS n_sentinel, "
+            f"CAST({nan} AS BIGINT) AS n_nan, CAST({inf} AS BIGINT) AS n_inf FROM {table}"
+        )
+    return f"WITH {cte}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("profile_columns_dirty_lineitem", _profile_sql(LINEITEM_CTE, "dirty_lineitem", LINEITEM_TYPES))
+def q_profile_columns_li(spark, sf):
+    return P.profile_columns(_dirty_li(spark, sf))
+
+
+@register("profile_uncastable_dirty_lineitem", f"""
+WITH {LINEITEM_CTE}
+SELECT 'qty_txt' AS "column", 'double' AS target_type,
+       CAST(COUNT(*) FILTER (WHERE qty_txt IS NOT NULL AND TRY_CAST(qty_txt AS DOUBLE) IS NULL) AS BIGINT) AS n_uncastable
+FROM dirty_lineitem
+""")
+def q_profile_uncastable_li(spark, sf):
+    schema = T.StructType([T.StructField("qty_txt", T.DoubleType())])
+    return P.profile_uncastable(_dirty_li(spark, sf), schema)
+
+
+@register("constant_columns_lineitem", """
+WITH t AS (SELECT l_quantity, l_extendedprice, l_discount, CAST(7.0 AS DOUBLE) AS seven FROM lineitem),
+s AS (SELECT stddev_samp(l_quantity) AS a, stddev_samp(l_extendedprice) AS b, stddev_samp(l_discount) AS c,
+             stddev_samp(seven) AS d FROM t)
+SELECT "column", ROUND(sd, 6) AS stddev, (sd IS NULL OR sd = 0) AS is_constant FROM (
+  SELECT 'l_quantity' AS "column", a AS sd FROM s UNION ALL SELECT 'l_extendedprice', b FROM s
+  UNION ALL SELECT 'l_discount', c FROM s UNION ALL SELECT 'seven', d FROM s)
+""")
+def q_constant_columns_li(spark, sf):
+    li = load_table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", F.lit(7.0).alias("seven"))
+    return P.constant_columns(li).select("column", r6(F.col("stddev")).alias("stddev"), "is_constant")
+
+
+@register("impute_median_dirty_lineitem", f"""
+WITH {LINEITEM_CTE},
+c AS (SELECT l_orderkey, l_linenumber, TRY_CAST(qty_txt AS DOUBLE) AS qty, price_dbl FROM dirty_lineitem),
+m AS (SELECT quantile_disc(qty, 0.5) FILTER (WHERE NOT isnan(qty)) AS mq,
+             quantile_disc(price_dbl, 0.5) FILTER (WHERE NOT isnan(price_dbl)) AS mp FROM c)
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN qty IS NULL OR isnan(qty) THEN (SELECT mq FROM m) ELSE qty END AS qty,
+  CASE WHEN price_dbl IS NULL OR isnan(price_dbl) THEN (SELECT mp FROM m) ELSE price_dbl END AS price_dbl
+FROM c
+""")
+def q_impute_li(spark, sf):
+    d = _dirty_li(spark, sf).select("l_orderkey", "l_linenumber", F.col("qty_txt").try_cast("double").alias("qty"), "price_dbl")
+    return C.impute(d, ["qty", "price_dbl"], "median", exact=True)
+
+
+@register("index_categories_flag_dirty_lineitem", """
+WITH m AS (
+  SELECT flag AS v, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, flag) - 1 AS DOUBLE) AS idx
+  FROM (SELECT CASE WHEN (l_orderkey * 7 + l_linenumber) % 20 = 0 THEN NULL ELSE l_returnflag END AS flag FROM lineitem)
+  WHERE flag IS NOT NULL GROUP BY flag),
+k AS (SELECT CAST(COUNT(*) AS DOUBLE) AS k FROM m),
+d AS (SELECT l_orderkey, l_linenumber, CASE WHEN (l_orderkey * 7 + l_linenumber) % 20 = 0 THEN NULL ELSE l_returnflag END AS flag
+      FROM lineitem)
+SELECT d.l_orderkey, d.l_linenumber, d.flag, COALESCE(m.idx, (SELECT k FROM k)) AS flag_index
+FROM d LEFT JOIN m ON d.flag = m.v
+""")
+def q_index_flag_li(spark, sf):
+    d = _dirty_li(spark, sf).select("l_orderkey", "l_linenumber", "flag")
+    return index_categories(d, ["flag"], "keep")
+
+
 # ============================================================== cleaning
 
 

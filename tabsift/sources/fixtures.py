@@ -118,3 +118,36 @@ DIRTY_SCHEMA = T.StructType([
     T.StructField("qty_txt", T.IntegerType()),
     T.StructField("price_txt", T.DoubleType()),
 ])
+
+
+# ------------------------------------------------------------------ lineitem, dirtied by expression
+
+# m = (l_orderkey * 7 + l_linenumber) mod 20 (lineitem has no unique key; rows are compared as a multiset)
+#   qty_txt    l_quantity as text: 0 null, 1 '-', 2 'nan', 3 'abc', else the number
+#   price_dbl  l_extendedprice: 0 null, 4 NaN, 5 +Inf, else the value
+#   flag       l_returnflag: 0 null, else the flag
+def dirty_lineitem(lineitem: DataFrame) -> DataFrame:
+    m = F.pmod(F.col("l_orderkey") * F.lit(7) + F.col("l_linenumber"), F.lit(20))
+    qty = (F.when(m == 0, F.lit(None).cast("string")).when(m == 1, F.lit("-")).when(m == 2, F.lit("nan"))
+           .when(m == 3, F.lit("abc")).otherwise(F.col("l_quantity").cast("string")))
+    price = (F.when(m == 0, F.lit(None).cast("double")).when(m == 4, F.lit(float("nan")))
+             .when(m == 5, F.lit(float("inf"))).otherwise(F.col("l_extendedprice")))
+    flag = F.when(m == 0, F.lit(None).cast("string")).otherwise(F.col("l_returnflag"))
+    return lineitem.select(
+        "l_orderkey", "l_linenumber", qty.alias("qty_txt"), price.alias("price_dbl"), flag.alias("flag"),
+        "l_discount", "l_tax",
+    )
+
+
+DIRTY_LINEITEM_SQL = """
+dirty_lineitem AS (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN m = 0 THEN NULL WHEN m = 1 THEN '-' WHEN m = 2 THEN 'nan' WHEN m = 3 THEN 'abc'
+         ELSE CAST(l_quantity AS VARCHAR) END AS qty_txt,
+    CASE WHEN m = 0 THEN NULL WHEN m = 4 THEN CAST('NaN' AS DOUBLE) WHEN m = 5 THEN CAST('Infinity' AS DOUBLE)
+         ELSE l_extendedprice END AS price_dbl,
+    CASE WHEN m = 0 THEN NULL ELSE l_returnflag END AS flag,
+    l_discount, l_tax
+  FROM (SELECT *, (l_orderkey * 7 + l_linenumber) % 20 AS m FROM lineitem)
+)
+"""

@@ -59,7 +59,7 @@ def test_d11_d20_each_config_has_its_own_stages():
     assert stages[1][1] is not stages[2][1]  # scaler not shared between configs
 
 
-def test_d18_pca_k_clamped_in_config():
+def test_f7_pca_k_clamped_in_config():
     stages = config_stages(ForestConfig("p", scale=True, pca_k=10), ["a", "b"], "y")
     assert stages[2].getK() == 2
 
@@ -102,3 +102,45 @@ def test_flow_records_end_to_end(spark):
     assert [r["service"] for r in rows] == ["unknown", "unknown"]
     assert {r["fwd_pkts_tot"] for r in rows} <= {0, 80}  # -3 clamped
     assert dict(out.dtypes)["fwd_pkts_tot"] == "int"
+
+
+def test_d9_backproject_n_features_k_components(spark):
+    from tabsift.operators.features import backproject_importance, pca
+
+    rows = [(float(i), float(i * i % 11), float(i % 7), float(i % 2)) for i in range(80)]
+    vec = assemble(spark.createDataFrame(rows, "a double, b double, c double, y double"), ["a", "b", "c"])
+    pm = pca(vec, k=2, input_col="features")  # pc is 3 x 2
+    forest = train_forest(pm.transform(vec), "y", "pca_features", num_trees=3, max_depth=2)
+    out = backproject_importance(spark, pm, forest, ["a", "b", "c"]).collect()
+    assert sorted(r["feature"] for r in out) == ["a", "b", "c"] and sorted(r["rank"] for r in out) == [1, 2, 3]
+
+
+def test_d14_assembler_modes(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (None, 1.0), (float("nan"), 0.0), (float("inf"), 1.0)], "x double, y double")
+    with pytest.raises(Exception):
+        assemble(df, ["x"], handle_invalid="error").collect()
+    kept = assemble(df, ["x"], handle_invalid="skip").collect()
+    assert len(kept) == 2 and kept[1]["features"][0] == float("inf")  # skip drops null/NaN, keeps Inf
+    assert P.count_non_finite_rows(df, ["x"]).first()["n_non_finite"] == 3
+
+
+def test_d16_selection_can_use_class_weights(spark):
+    from tabsift.operators.features import select_top_features
+    from tabsift.operators.weights import with_class_weight
+
+    df = spark.range(0, 300).select(
+        (F.col("id") % 3 == 0).cast("double").alias("y"), (F.col("id") % 3).cast("double").alias("s"),
+        (F.col("id") % 7).cast("double").alias("z"))
+    weighted = with_class_weight(df, "y")
+    top, table = select_top_features(weighted, ["z", "s"], "y", n=1, weight="class_weight", num_trees=5)
+    assert top == ["s"] and table.count() == 2
+
+
+def test_d18_many_categories_one_hot_only(spark):
+    from tabsift.operators.encode import fit_indexer, one_hot
+
+    df = spark.range(0, 400).select((F.col("id") % 40).cast("string").alias("svc"),
+                                     (F.col("id") % 40 < 20).cast("double").alias("y"))
+    enc = one_hot(fit_indexer(df, ["svc"], "keep").transform(df), ["svc_index"])
+    vec = assemble(enc, ["svc_vec"])  # one-hot only: no nominal index column, so no maxBins limit
+    assert train_forest(vec, "y", num_trees=3, max_depth=4).numFeatures == 40

@@ -1,8 +1,9 @@
 """End-to-end recipes (E1-E4) composed from the operators.
 
-Order of work differs from the reference on purpose: the split comes *first* and every fitted step
-(label index, class weights, feature selection, imputation statistics) is fitted on the training
-rows only (D15); de-duplication runs before encoding (same result, narrower rows).
+Order of work differs from the reference on purpose: in ``prepare`` the split comes *first* and the
+label index, class weights and feature selection are fitted on the training rows only (D15).
+``clean`` is a table-level step run before any split (as the reference's cleaning is), so its
+statistics cover the whole table; de-duplication runs before encoding (same result, narrower rows).
 """
 
 from __future__ import annotations

@@ -78,6 +78,6 @@ def test_cleaning_is_one_projection(spark, sf):
     assert set(re.findall(r"\*\((\d+)\)", plan)) == {"1"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL) + ["score_lang"])
 def test_no_python_udf(spark, sf, name):
     assert not uses_python_udf(QUERIES[name](spark, sf))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsift.functions.exprs import INF, is_fractional, is_missing, is_non_finite, qcol, typed_lit
+from tabsift.functions.exprs import is_missing, is_non_finite, qcol, typed_lit
 from tabsift.operators.profile import constant_column_names, sentinel_match
 from tabsift.spec import DEFAULT_SENTINELS
 
@@ -370,7 +370,6 @@ def drop_non_finite_rows(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
 
 
 __all__ = [
-    "INF",
     "cast_columns",
     "cast_to_schema",
     "check_schema",
@@ -383,7 +382,6 @@ __all__ = [
     "fill_category",
     "fill_constant",
     "impute",
-    "is_fractional",
     "lowercase",
     "medians",
     "neutralize_constant",

@@ -95,6 +95,7 @@ def prepare(
     weight_col: str = "class_weight",
     select_weighted: bool = False,
     checkpoint: bool = True,
+    partitions: int | None = None,
 ) -> Prepared:
     """Drop -> cast features -> split by key -> index label (fit on train) -> class weights (from
     train) -> top-N features by forest importance (fitted on train).
@@ -103,12 +104,19 @@ def prepare(
     the shared checkpoint folder: the label index, the weights, the selection forest and every config
     fit then read it instead of recomputing features from the source (for text input, a re-read of
     every whole text per fit), and a lost executor re-reads it rather than the lineage.
+
+    The narrow table is spread round-robin over ``partitions`` (default: the session's default
+    parallelism, i.e. the cluster's cores) first.  Its partitioning would otherwise follow the input
+    files: text input gives many tiny partitions (each forest level pays per-task overhead on all of
+    them) or, for few files, fewer tasks than cores.  Round-robin, not hash on the key, so a hot key
+    cannot skew it.
     """
     if spec.key is None:
         raise ValueError("prepare needs spec.key for a reproducible split")
     df = C.drop_columns(df, spec.drop + spec.categoricals)
     features = spec.feature_columns(df.columns)
     df = C.cast_columns(df, features, "double").select(spec.key, spec.label, *features)
+    df = df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
     if checkpoint:
         df = materialize(df)
     train, test = split(df, spec.key, spec.split_ratio, spec.seed)

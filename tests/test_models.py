@@ -171,8 +171,7 @@ def test_feature_importance_slot_names_one_hot(spark):
 
 
 def test_backproject_hand_made(spark):
-    """F11 on a model whose loadings are known: importance of f = sum_c |loading[f,c]| * imp[c]."""
-    from pyspark.ml.feature import PCAModel  # noqa: F401
+    """F11 against the formula: importance of f = sum_c |loading[f,c]| * imp[c]."""
 
     df = spark.createDataFrame([(float(i), float(2 * i % 7), float(i % 3)) for i in range(60)], "a double, b double, y double")
     vec = assemble(df, ["a", "b"])

@@ -44,7 +44,8 @@ from tabsift.sources.fixtures import (
     document_features_sql,
     load_table,
 )
-from tabsift.spec import ForestConfig, TableSpec, default_configs
+from tabsift.sources.flows import FLOW_LABEL, FLOW_RAW_NAMES, flow_records, flow_records_sql, flow_table_spec
+from tabsift.spec import FLOW_COLUMNS, FLOW_NON_NEGATIVE, ForestConfig, TableSpec, default_configs, flow_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,12 +223,13 @@ def _dirty_li(spark, sf):
 def _profile_sql(cte: str, table: str, types) -> str:
     parts = []
     for name, typ in types:
-        sent = f"COUNT(*) FILTER (WHERE {name} IN {SENTINELS_SQL})" if typ == "string" else "0"
-        nan = f"COUNT(*) FILTER (WHERE isnan({name}))" if typ == "double" else "0"
-        inf = f"COUNT(*) FILTER (WHERE isinf({name}))" if typ == "double" else "0"
+        c = f'"{name}"'
+        sent = f"COUNT(*) FILTER (WHERE {c} IN {SENTINELS_SQL})" if typ == "string" else "0"
+        nan = f"COUNT(*) FILTER (WHERE isnan({c}))" if typ == "double" else "0"
+        inf = f"COUNT(*) FILTER (WHERE isinf({c}))" if typ == "double" else "0"
         parts.append(
             f"SELECT '{name}' AS \"column\", '{typ}' AS data_type, "
-            f"CAST(COUNT(*) FILTER (WHERE {name} IS NULL) AS BIGINT) AS n_null, CAST({sent} AS BIGINT) AS n_sentinel, "
+            f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, CAST({sent} AS BIGINT) AS n_sentinel, "
             f"CAST({nan} AS BIGINT) AS n_nan, CAST({inf} AS BIGINT) AS n_inf FROM {table}"
         )
     return f"WITH {cte}\n" + "\nUNION ALL\n".join(parts)
@@ -749,47 +751,73 @@ def q_run(spark, sf):
     return run(_docs(spark, sf), DOC_SPEC).scores.drop("fit_seconds")
 
 
-def _clean_sql() -> str:
+def clean_sql(
+    ctes: str,
+    table: str,
+    key: str | None,
+    label: str,
+    cats: tuple[str, ...],
+    text_nums: dict[str, str],
+    nums: dict[str, str],
+    non_negative: tuple[str, ...] = (),
+    raw_names: dict[str, str] | None = None,
+) -> str:
+    """DuckDB form of ``clean(normalize(t, spec), spec)``: categories lower-cased with sentinels (any
+    case) -> null -> 'unknown'; numeric text with sentinels -> null, then TRY_CAST; DISTINCT; missing
+    -> exact lower median (0 when a column has none); +-Inf -> 0; constant columns (stddev 0 or null)
+    -> 0 where present; ``non_negative`` clamped at 0.  ``text_nums``/``nums`` map column -> INTEGER or
+    DOUBLE; ``raw_names`` maps normalised names to raw (dotted) ones."""
+    raw_names = raw_names or {}
     s_ = SENTINELS_SQL
-    nums = ["qty_txt", "price_txt", "price_dbl", "cust_int", "const_dbl", "empty_dbl"]
-    doubles = {"price_txt", "price_dbl", "const_dbl", "empty_dbl"}
-    missing = {c: (f"({c} IS NULL OR isnan({c}))" if c in doubles else f"{c} IS NULL") for c in nums}
-    med = ", ".join(
-        f"quantile_disc({c}, 0.5) FILTER (WHERE NOT {missing[c]}) AS m_{c}" for c in nums
-    )
+
+    def raw(c):
+        return '"' + raw_names.get(c, c) + '"'
+
+    norm = [key] if key else []
+    norm += [f"CASE WHEN lower({raw(c)}) IN {s_} THEN NULL ELSE lower({raw(c)}) END AS {c}" for c in (label, *cats)]
+    norm += [f"TRY_CAST(CASE WHEN {raw(c)} IN {s_} THEN NULL ELSE {raw(c)} END AS {t}) AS {c}" for c, t in text_nums.items()]
+    norm += [f"{raw(c)} AS {c}" for c in nums]
+    numerics = {**text_nums, **nums}
+    doubles = {c for c, t in numerics.items() if t == "DOUBLE"}
+    missing = {c: (f"({c} IS NULL OR isnan({c}))" if c in doubles else f"{c} IS NULL") for c in numerics}
+    zero = {c: ("CAST(0 AS DOUBLE)" if c in doubles else "0") for c in numerics}
+    med = ", ".join(f"quantile_disc({c}, 0.5) FILTER (WHERE NOT {missing[c]}) AS m_{c}" for c in numerics)
     fixed = []
-    for c in nums:
-        zero = "CAST(0 AS DOUBLE)" if c in doubles else "0"
-        filled = f"CASE WHEN {missing[c]} THEN COALESCE((SELECT m_{c} FROM m), {zero}) ELSE {c} END"
+    for c in numerics:
+        filled = f"CASE WHEN {missing[c]} THEN COALESCE((SELECT m_{c} FROM m), {zero[c]}) ELSE {c} END"
         if c in doubles:
-            filled = f"CASE WHEN isinf({filled}) THEN {zero} ELSE {filled} END"
+            filled = f"CASE WHEN isinf({filled}) THEN {zero[c]} ELSE {filled} END"
         fixed.append(f"{filled} AS {c}")
-    sd = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in nums)
+    sd = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in numerics)
     final = []
-    for c in nums:
-        zero = "CAST(0 AS DOUBLE)" if c in doubles else "0"
+    for c in numerics:
         v = (f"CASE WHEN (SELECT s_{c} FROM s) IS NULL OR (SELECT s_{c} FROM s) = 0 "
-             f"THEN CASE WHEN {c} IS NOT NULL THEN {zero} END ELSE {c} END")
-        if c == "price_dbl":
-            v = f"CASE WHEN ({v}) < 0 THEN {zero} ELSE ({v}) END"
+             f"THEN CASE WHEN {c} IS NOT NULL THEN {zero[c]} END ELSE {c} END")
+        if c in non_negative:
+            v = f"CASE WHEN ({v}) < 0 THEN {zero[c]} ELSE ({v}) END"
         final.append(f"{v} AS {c}")
+    keep = ([key] if key else []) + [label, *cats]
     return f"""
-WITH {DIRTY_CTE},
-n AS (SELECT o_orderkey,
-  CASE WHEN lower(status_txt) IN {s_} THEN NULL ELSE lower(status_txt) END AS status_txt,
-  CASE WHEN lower(priority) IN {s_} THEN NULL ELSE lower(priority) END AS priority,
-  TRY_CAST(CASE WHEN qty_txt IN {s_} THEN NULL ELSE qty_txt END AS INTEGER) AS qty_txt,
-  TRY_CAST(CASE WHEN price_txt IN {s_} THEN NULL ELSE price_txt END AS DOUBLE) AS price_txt,
-  price_dbl, cust_int, const_dbl, empty_dbl FROM dirty_orders),
+WITH {ctes},
+n AS (SELECT {", ".join(norm)} FROM {table}),
 d AS (SELECT DISTINCT * FROM n),
 m AS (SELECT {med} FROM d),
-f AS (SELECT o_orderkey, COALESCE(status_txt, 'unknown') AS status_txt, COALESCE(priority, 'unknown') AS priority,
+f AS (SELECT {", ".join(keep[:1] if key else [])}{", " if key else ""}{", ".join(f"COALESCE({c}, 'unknown') AS {c}" for c in (label, *cats))},
         {", ".join(fixed)} FROM d),
 s AS (SELECT {sd} FROM f)
-SELECT o_orderkey, status_txt, priority, {", ".join(final)} FROM f
+SELECT {", ".join(keep)}, {", ".join(final)} FROM f
 """
 
 
+def _clean_sql() -> str:
+    return clean_sql(
+        DIRTY_CTE, "dirty_orders", "o_orderkey", "status_txt", ("priority",),
+        {"qty_txt": "INTEGER", "price_txt": "DOUBLE"},
+        {"price_dbl": "DOUBLE", "cust_int": "INTEGER", "const_dbl": "DOUBLE", "empty_dbl": "DOUBLE"},
+        non_negative=("price_dbl",),
+    )
+
+
 @register("clean_dirty_orders", _clean_sql())
 def q_clean(spark, sf):
     d = _dirty(spark, sf)
@@ -798,6 +826,52 @@ def q_clean(spark, sf):
     return clean(normalize(d, spec), spec).df
 
 
+# ============================================================== the reference's 84-column layout
+
+FLOW_CTE = flow_records_sql()
+FLOW_TYPES = {f.name: ("INTEGER" if f.dataType.simpleString() == "int" else "DOUBLE")
+              for f in flow_schema().fields if f.dataType.simpleString() != "string"}
+
+
+def _flows(spark, sf, with_key=False):
+    return flow_records(load_table(spark, sf, "lineitem"), with_key=with_key)
+
+
+@register("profile_columns_flow_records", _profile_sql(FLOW_CTE, "flow_records",
+                                                        [(n, "string") for n in FLOW_RAW_NAMES]))
+def q_profile_flows(spark, sf):
+    return P.profile_columns(_flows(spark, sf))
+
+
+@register("profile_uncastable_flow_records", f"""
+WITH {FLOW_CTE}
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS \"column\", '{'int' if t == 'INTEGER' else 'double'}' AS target_type, "
+    f"CAST(COUNT(*) FILTER (WHERE \"{r}\" IS NOT NULL AND TRY_CAST(\"{r}\" AS {t}) IS NULL) AS BIGINT) AS n_uncastable "
+    f"FROM flow_records"
+    for r, n in zip(FLOW_RAW_NAMES, FLOW_COLUMNS) if n in FLOW_TYPES for t in [FLOW_TYPES[n]]
+))
+def q_uncastable_flows(spark, sf):
+    return P.profile_uncastable(C.normalize_names(_flows(spark, sf)), flow_schema())
+
+
+@register("clean_flow_records", clean_sql(
+    FLOW_CTE, "flow_records", None, FLOW_LABEL, ("proto", "service"), FLOW_TYPES, {},
+    non_negative=FLOW_NON_NEGATIVE, raw_names=dict(zip(FLOW_COLUMNS, FLOW_RAW_NAMES)),
+))
+def q_clean_flows(spark, sf):
+    spec = flow_table_spec()
+    return clean(normalize(_flows(spark, sf), spec), spec).df
+
+
+@register("run_flow_records")
+def q_run_flows(spark, sf):
+    """E4 on the reference's layout: clean -> split by flow_id -> top-50 of 81 features -> 3 forests."""
+    spec = flow_table_spec(key="flow_id")
+    cleaned = clean(normalize(_flows(spark, sf, with_key=True), spec), spec).df
+    return run(cleaned, spec).scores.drop("fit_seconds")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> letter-count features -> split by doc_id -> label index, class weights and feature
     selection on train -> three forests -> ``config, split, metric, value, fit_seconds, status, error``."""

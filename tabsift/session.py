@@ -35,19 +35,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a (small, derived) DataFrame with a reliable checkpoint in the shared folder.
+    """Cut lineage of a derived DataFrame with a reliable checkpoint in the shared folder.
 
-    Used for tables that are read by several later steps, so the scan behind them runs once and a
-    lost executor does not force recomputation from the source.  The input is persisted while the
-    checkpoint is written: an eager checkpoint runs one job to compute and another to write, and
-    without the persist the second would recompute every stage after the last shuffle (for a
-    shuffle-free plan, the whole scan).
+    Used for tables that are read by several later steps, so the work behind them runs once and a lost
+    executor re-reads the checkpoint instead of recomputing from the source.  An eager checkpoint runs
+    one job to compute and a second to write; callers materialise right after a shuffle (an aggregate,
+    a de-duplication, a repartition), so the second job starts from the shuffle files and nothing is
+    cached in executor memory.
     """
-    from pyspark import StorageLevel
-
     checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    return df.checkpoint(eager=True)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over the session's cores before heavy per-row work.
+
+    A Parquet row group is the smallest unit a scan can split, so a file with one row group is read by
+    one task and every per-row step after it runs on one core until the next shuffle.  When the whole
+    input is smaller than one file split (``spark.sql.files.maxPartitionBytes``), one round-robin
+    shuffle of it (< one split of data) spreads the work; anything larger already has as many splits
+    as its size warrants and is returned unchanged (no shuffle at scale).
+    """
+    session = df.sparkSession
+    raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = raw if isinstance(raw, int) else int(raw.toString())
+    split = int(session._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    cores = session.sparkContext.defaultParallelism
+    if size < split and cores > 1:
+        return df.repartition(cores)
+    return df

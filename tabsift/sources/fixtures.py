@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.functions.exprs import count_substring
+from tabsift.session import spread_small_input
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +41,7 @@ def document_features(docs: DataFrame) -> DataFrame:
     cols = [F.col("doc_id"), F.col("lang"), F.length(text).cast("bigint").alias("f_len")]
     cols += [count_substring(text, s).alias(n) for n, s in DOC_COUNTS]
     cols.append(F.col("n_chars").cast("bigint").alias("n_chars"))
-    return docs.select(*cols)
+    return spread_small_input(docs).select(*cols)
 
 
 def _sql_str(s: str) -> str:

@@ -140,11 +140,12 @@ def fill_category(df: DataFrame, cols: Iterable[str], value: str = "unknown") ->
     return _replace(df, {c: F.coalesce(qcol(c), F.lit(value)) for c in _check_present(df, cols)})
 
 
-# Exact medians: ranks are narrowed with approximate-quantile brackets until few candidates are left.
-PICK_LIMIT = 1_000_000   # at most this many present values per column reach the final exact pick
-QUANTILE_GRID = 200      # bracket points asked of each sketch per pass
-SKETCH_ACCURACY = 2_000  # percentile_approx accuracy (rank error <= n / accuracy); ~160x narrower per pass
-MAX_ROUNDS = 8
+# Exact medians by randomised selection: a sample proposes a bracket, an exact count verifies it.
+PICK_LIMIT = 20_000       # at most this many present values per column reach the final exact pick
+SAMPLE_PER_COLUMN = 50_000  # values per column sketched when proposing a bracket
+SKETCH_ACCURACY = 10_000  # percentile_approx accuracy on the sample (rank error <= s / accuracy)
+Z = 5.0                   # sampling margin in standard deviations (doubled after a failed bracket)
+MAX_ROUNDS = 10
 
 
 def _in_range(c: Column, dtype: T.DataType, lo, hi) -> Column:
@@ -159,82 +160,101 @@ def _in_range(c: Column, dtype: T.DataType, lo, hi) -> Column:
 def _exact_medians(df: DataFrame, cols: list[str], pick_limit: int = PICK_LIMIT) -> dict[str, object]:
     """Exact lower medians (``percentile_disc(0.5)``, rank ceil(n/2) of the present values).
 
-    Each pass is one aggregate over the data for all columns at once: for every column the exact count
-    of present values below the current bracket and inside it, and a ``percentile_approx`` sketch of
-    the values inside it (bounded memory per task).  The sketch's rank error (n / accuracy) gives a
-    new, ~800x narrower bracket that provably still holds the target rank; the next pass re-counts
-    exactly, so a bracket is always verified.  Once a bracket holds at most ``pick_limit`` values (or
-    a single value, e.g. a value held by a third of the rows) a last pass counts the distinct
-    candidates and takes the running count per column.  Only scans and small aggregates: no shuffle
-    of the data, nothing unbounded in one task or on the driver.
+    Randomised selection, all columns at once, every pass one aggregate over the data:
+    1. exact count pass (codegen'd ``count_if``): present values below the bracket and inside it;
+       this fixes the target's rank inside the bracket and verifies the bracket;
+    2. if a column's bracket still holds more than ``pick_limit`` values, a Bernoulli sample of about
+       ``SAMPLE_PER_COLUMN`` of them is sketched with ``percentile_approx`` and the sample quantiles
+       at the target's relative rank +- (Z standard errors + sketch error) become the new bracket --
+       about 90x narrower per round; back to 1.  A bracket that misses the target (probability
+       ~1e-6) is undone and retried with a doubled margin, so the result is always exact; only the
+       number of passes is random;
+    3. the last pass counts the distinct values inside each column's bracket (at most ``pick_limit``
+       rows per column) and takes the running count to the target rank.  A bracket that shrinks to a
+       single value answers directly (a value held by a third of the rows never reaches the pick).
+    No shuffle of the whole data; nothing unbounded in one task or on the driver.
     """
     types = {c: df.schema[c].dataType for c in cols}
-    state = {c: {"lo": None, "hi": None, "rank": None, "prev": None} for c in cols}
-    grid = [j / QUANTILE_GRID for j in range(QUANTILE_GRID + 1)]
+    state = {c: {"lo": None, "hi": None, "z": Z} for c in cols}
+
+    def count_pass(names):
+        aggs = []
+        for i, c in enumerate(names):
+            st, dtype, v = state[c], types[c], qcol(c)
+            below = (~is_missing(v, dtype) & (v < typed_lit(st["lo"], dtype))) if st["lo"] is not None else F.lit(False)
+            aggs += [F.count_if(below).alias(f"b{i}"), F.count_if(_in_range(v, dtype, st["lo"], st["hi"])).alias(f"n{i}")]
+        row = df.agg(*aggs).first()
+        return {c: (row[f"b{i}"], row[f"n{i}"]) for i, c in enumerate(names)}
+
     result: dict[str, object] = {}
-    # cheap first pass: present-value counts; small columns skip the sketches and go to the pick
-    counts = df.agg(*[F.count_if(~is_missing(qcol(c), types[c])).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     active = []
-    for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
+    for c, (_, n) in count_pass(cols).items():
         if n == 0:
             result[c] = None
             continue
-        state[c]["rank"] = max(1, math.ceil(n / 2))
-        state[c]["prev"] = (None, None)
+        st = state[c]
+        st["rank"] = st["local"] = max(1, math.ceil(n / 2))
+        st["inside"] = n
         if n > pick_limit:
             active.append(c)
-    for _ in range(MAX_ROUNDS):
+    for round_no in range(MAX_ROUNDS):
         if not active:
             break
-        aggs = []
+        picks, aggs, plans, fracs = [], [], {}, []
         for i, c in enumerate(active):
             st, dtype, v = state[c], types[c], qcol(c)
-            inside = _in_range(v, dtype, st["lo"], st["hi"])
-            below = ~is_missing(v, dtype) & (v < typed_lit(st["lo"], dtype)) if st["lo"] is not None else F.lit(False)
-            aggs += [
-                F.count_if(below).alias(f"b{i}"),
-                F.count_if(inside).alias(f"n{i}"),
-                F.percentile_approx(F.when(inside, v).cast("double"), grid, SKETCH_ACCURACY).alias(f"q{i}"),
-            ]
-        row = df.agg(*aggs).first()
-        still = []
+            frac = min(1.0, SAMPLE_PER_COLUMN / st["inside"])
+            sampled = frac * st["inside"]
+            q = st["local"] / st["inside"]
+            margin = st["z"] * math.sqrt(q * (1 - q) / sampled) * (1.0 if frac < 1 else 0.0)
+            margin += 2.0 / SKETCH_ACCURACY + 1.0 / sampled
+            want = [max(0.0, q - margin), min(1.0, q + margin)]
+            keep = _in_range(v, dtype, st["lo"], st["hi"]) & (F.col("__tabsift_u") < F.lit(frac))
+            picks.append(F.when(keep, v).cast("double").alias(f"s{i}"))
+            aggs.append(F.percentile_approx(f"s{i}", want, SKETCH_ACCURACY).alias(f"q{i}"))
+            plans[c] = want
+            fracs.append(frac)
+        # one shared draw per row, projected first (aggregate inputs must be deterministic); rows above
+        # the largest fraction are dropped and the sampled values are picked in a codegen'd projection,
+        # so the (interpreted) sketch aggregate only sees the sample
+        sample = (df.withColumn("__tabsift_u", F.rand(17 + round_no))
+                  .where(F.col("__tabsift_u") < F.lit(max(fracs))).select(*picks))
+        row = sample.agg(*aggs).first()
         for i, c in enumerate(active):
+            st, want, qs = state[c], plans[c], row[f"q{i}"]
+            st["verified"] = (st["lo"], st["hi"])
+            if qs is None:
+                continue
+            lo, hi = qs
+            if isinstance(types[c], T.IntegralType):
+                lo, hi = math.floor(lo), math.ceil(hi)
+            if want[0] > 0.0:
+                st["lo"] = lo
+            if want[1] < 1.0:
+                st["hi"] = hi
+        still = []
+        for c, (below, inside) in count_pass(active).items():
             st = state[c]
-            below, inside, qs = row[f"b{i}"], row[f"n{i}"], row[f"q{i}"]
             r = st["rank"] - below
-            if not 1 <= r <= inside:  # bracket failed its exact check: go back one step, pick there
-                st["lo"], st["hi"] = st["prev"]
-                st["final"] = True
-                continue
-            st["local"] = r
-            if inside <= pick_limit or qs is None or qs[0] == qs[-1]:
-                st["final"] = True
+            if not 1 <= r <= inside:  # the sample missed: undo, widen, retry
+                st["lo"], st["hi"] = st["verified"]
+                st["z"] *= 2
+                still.append(c)
                 continue
-            err = inside / SKETCH_ACCURACY
-            j_lo = max(0, math.floor((r - 2 * err) / inside * QUANTILE_GRID) - 1)
-            j_hi = min(QUANTILE_GRID, math.ceil((r + 2 * err) / inside * QUANTILE_GRID) + 1)
-            st["prev"] = (st["lo"], st["hi"])
-            st["lo"] = None if j_lo == 0 else qs[j_lo]
-            st["hi"] = None if j_hi == QUANTILE_GRID else qs[j_hi]
-            if st["lo"] is not None and isinstance(types[c], T.IntegralType):
-                st["lo"] = math.floor(st["lo"])
-            if st["hi"] is not None and isinstance(types[c], T.IntegralType):
-                st["hi"] = math.ceil(st["hi"])
-            still.append(c)
+            st["local"], st["inside"] = r, inside
+            if st["lo"] is not None and st["lo"] == st["hi"]:
+                result[c] = st["lo"]
+            elif inside > pick_limit:
+                still.append(c)
         active = still
-    for c in active:  # rounds exhausted: pick inside the last verified bracket
-        state[c]["lo"], state[c]["hi"] = state[c]["prev"]
     finals = [c for c in cols if c not in result]
     by_type: dict[str, list[str]] = {}
     for c in finals:  # one pick pass for every type that converts to double exactly
         key = "double" if isinstance(types[c], _DOUBLE_EXACT) else types[c].simpleString()
         by_type.setdefault(key, []).append(c)
     for key, group in by_type.items():
-        picked = _pick(df, group, types, state, T.DoubleType() if key == "double" else types[group[0]])
-        for c, v in picked.items():
-            result[c] = int(v) if isinstance(types[c], T.IntegralType) and v is not None else v
-    return result
+        result.update(_pick(df, group, types, state, T.DoubleType() if key == "double" else types[group[0]]))
+    return {c: (int(v) if isinstance(types[c], T.IntegralType) and v is not None else v) for c, v in result.items()}
 
 
 _DOUBLE_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
@@ -243,14 +263,16 @@ _DOUBLE_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleTy
 def _pick(df: DataFrame, cols: list[str], types: dict, state: dict, common: T.DataType) -> dict[str, object]:
     """Final exact pick for columns sharing ``common`` type: distinct candidates with counts, running
     count per column (each column's candidates are bounded by the pick limit)."""
-    cells = F.inline(F.array(*[
+    cells = F.array(*[
         F.struct(
             F.lit(i).alias("cid"),
             F.when(_in_range(qcol(c), types[c], state[c]["lo"], state[c]["hi"]), qcol(c).cast(common)).alias("v"),
         )
         for i, c in enumerate(cols)
-    ]))
-    counted = df.select(cells).where(F.col("v").isNotNull()).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
+    ])
+    # out-of-bracket cells are dropped inside the array, so only candidates become rows
+    present = F.inline(F.filter(cells, lambda cell: cell["v"].isNotNull()))
+    counted = df.select(present).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
     rank = None
     for i, c in enumerate(cols):
         r = F.lit(state[c].get("local") or state[c]["rank"])

@@ -35,16 +35,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a derived DataFrame with a reliable checkpoint in the shared folder.
+    """Cut lineage of a derived DataFrame by writing it as a Parquet table in the shared folder.
 
     Used for tables that are read by several later steps, so the work behind them runs once and a lost
-    executor re-reads the checkpoint instead of recomputing from the source.  An eager checkpoint runs
-    one job to compute and a second to write; callers materialise right after a shuffle (an aggregate,
-    a de-duplication, a repartition), so the second job starts from the shuffle files and nothing is
-    cached in executor memory.
+    executor re-reads the table instead of recomputing from the source.  A Parquet write is a single
+    job (an eager ``checkpoint()`` computes and then writes in two), is compressed and columnar, and
+    later passes read only the columns they use.  Column metadata (ML attributes) travels in the
+    footer.  A schema Parquet cannot hold falls back to a reliable ``checkpoint()``.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from pyspark.errors import AnalysisException
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    try:
+        df.write.parquet(path)
+    except AnalysisException:
+        return df.checkpoint(eager=True)
+    return spark.read.parquet(path)
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:

@@ -81,3 +81,26 @@ def test_cleaning_is_one_projection(spark, sf):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL) + ["score_lang"])
 def test_no_python_udf(spark, sf, name):
     assert not uses_python_udf(QUERIES[name](spark, sf))
+
+
+def test_materialize_writes_under_the_shared_checkpoint_folder(spark, sf):
+    from tabsift.session import checkpoint_dir, materialize
+
+    out = materialize(load_table(spark, sf, "orders").groupBy("o_orderstatus").count())
+    def local(path):  # "file:/x" and "file:///x" name the same folder
+        return "/" + path.removeprefix("file:").lstrip("/")
+
+    assert out.count() == 3
+    assert all(local(f).startswith(local(checkpoint_dir(spark))) for f in out.inputFiles())
+
+
+def test_spread_only_small_inputs(spark, sf):
+    from tabsift.session import spread_small_input
+
+    small = load_table(spark, sf, "lineitem")
+    assert "RoundRobinPartitioning" in physical_plan(spread_small_input(small))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # now the table exceeds one split
+    try:
+        assert "Exchange" not in physical_plan(spread_small_input(small))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -212,9 +212,9 @@ def unpack_ids(data: bytes, vocabulary_size: int) -> np.ndarray:
 
 
 def encode_texts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, digests_only: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, outputs: tuple[str, ...] = ("ids", "decoded")
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, unless ``digests_only``, ``ids binary`` (little-endian
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and the ``outputs`` asked for, of ``ids binary`` (little-endian
     unsigned 32-bit) and ``decoded string``; one row per input row.
 
     Ids are those of the tokenizers library with ``add_special_tokens=False`` (the special token's own string
@@ -233,29 +233,29 @@ def encode_texts(
     parts = placed.groupBy("text_key").agg(F.collect_list(F.struct("seq", "first", "last", "packed")).alias("parts"))
 
     def assemble(batches):
-        import pyarrow as pa
-
         tool, unpack = coder(vocabulary), zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for i in range(batch.num_rows):
                 row = sorted(batch.column(1)[i].as_py(), key=lambda p: p["seq"])
                 ids = tool.join([(unpack_ids(unpack(p["packed"]), len(tool.bytes_of)), p["first"], p["last"]) for p in row])
                 raw, text = ids.tobytes(), tool.decode(ids)
+                made = {"ids": raw, "decoded": text}
                 cells = [batch.column(0)[i].as_py(), len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
-                kinds = [pa.binary(), pa.int64(), pa.string(), pa.string()]
-                if not digests_only:
-                    cells, kinds = [*cells, raw, text], [*kinds, pa.binary(), pa.string()]
+                cells += [made[n] for n in outputs]
                 yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
 
-    names = ["text_key", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * (not digests_only)
-    schema = "text_key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * (not digests_only)
-    done = parts.mapInArrow(assemble, schema)
-    if digests_only:
-        done = materialize(done)
-        full = done.join(texts.select("text_key", "rows"), "text_key")
-        coded = join_hot(listed.select("doc_id", "text_key", "n_bytes"), full, "text_key", "rows", total, "left")
+    import pyarrow as pa
+
+    names = ["text_key", "n_tokens", "ids_sha256", "decoded_sha256", *outputs]
+    kinds = [pa.binary(), pa.int64(), pa.string(), pa.string(), *({"ids": pa.binary(), "decoded": pa.string()}[n] for n in outputs)]
+    ddl = {"ids": ", ids binary", "decoded": ", decoded string"}
+    schema = "text_key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(ddl[n] for n in outputs)
+    done = materialize(parts.mapInArrow(assemble, schema))
+    members = listed.select("doc_id", "text_key", "n_bytes")
+    if outputs:  # a text with its ids may be long, so nothing is broadcast here
+        coded = members.join(done, "text_key", "left")
     else:
-        coded = listed.select("doc_id", "text_key", "n_bytes").join(done, "text_key", "left")
+        coded = join_hot(members, done.join(texts.select("text_key", "rows"), "text_key"), "text_key", "rows", total, "left")
     nothing = hashlib.sha256(b"").hexdigest()
     fill = {"n_tokens": F.lit(0), "ids_sha256": F.lit(nothing), "decoded_sha256": F.lit(nothing), "ids": F.lit(b""), "decoded": F.lit("")}
     return coded.select("doc_id", *(F.coalesce(n, fill[n]).alias(n) for n in names[1:]), "n_bytes")

@@ -202,3 +202,19 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     view = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, lang_pred string, score double, spans array<struct<first: int, last: int, lang: string, letters: int>>"
     return map_texts(view, fn, schema)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text :func:`identify` gives a language to (no ``und``)."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for start in range(0, batch.num_rows, 1000):
+                found += [bool(s) for s in label_spans(batch.column(at).slice(start, 1000).to_pylist(), model)]
+            yield batch.filter(pa.array(found, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

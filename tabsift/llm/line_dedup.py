@@ -41,7 +41,7 @@ def boilerplate_lines(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages:
 def html_lines(html: Column) -> Column:
     """Text of an HTML page with a line for each block: scripts, styles and comments go, block tags and ``<br>`` end a line."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", "")
-    cut = F.regexp_replace(bare, r"(?i)</?(p|br|li|ul|ol|div|h[1-6]|nav|article|title|head|body|html|table|tr|td|th|section|header|footer)[^>a-z]*>", "\n")
+    cut = F.regexp_replace(bare, r"(?i)</?(?:p|br|li|ul|ol|div|h[1-6]|nav|article|title|head|body|html|table|tr|td|th|section|header|footer)(?:[^a-z1-6>][^>]*)?>", "\n")
     return F.regexp_replace(cut, r"<[^>]*>", "")
 
 
@@ -56,9 +56,16 @@ def line_key(line: Column) -> Column:
 
 
 def line_dedup(
-    pages: DataFrame, id_col: str, host: Column, text: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    id_col: str,
+    host: Column,
+    text: Column,
+    max_ratio: float = MAX_RATIO,
+    min_pages: int = MIN_PAGES,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """``page, host, text, n_lines, n_dropped``; one row per input row, ``text`` without its boilerplate lines.
+    """``page, host, text, n_lines, n_dropped`` (and ``row``, a struct of the columns in ``carry``); one row per input row,
+    ``text`` without its boilerplate lines.
 
     A page is an input row, so a row that repeats counts as another page of its site.  Pages with a null or empty host form a
     site of their own.  Null text counts as empty and comes back null; a page left without lines has
@@ -67,7 +74,7 @@ def line_dedup(
     A line of a hot site is a key of its own (site and line), so sites are never gathered; hot lines (over one part
     in 200 of all line rows, hence fewer than 200 of them) are broadcast, all other keys are shuffled.
     """
-    base = pages.select(F.col(id_col).alias("page"), F.coalesce(host, F.lit("")).alias("host"), text.alias("text"))
+    base = pages.select(F.col(id_col).alias("page"), F.coalesce(host, F.lit("")).alias("host"), text.alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
     content = F.concat_ws("|", F.coalesce(F.col("page").cast("string"), F.lit("")), "host", "text")
     base = base.withColumn("row_key", F.unhex(F.md5(content.cast("binary"))))
     keyed = base.select("row_key", "page", "host", F.transform(split_lines(F.col("text")), line_key).alias("keys"))
@@ -97,5 +104,6 @@ def line_dedup(
             F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.transform(kept, lambda s: s["line"]))).alias("text"),
             F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("lines")).cast("long").alias("n_lines"),
             F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
+            *(["row"] if carry else []),
         )
     )

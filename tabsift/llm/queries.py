@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_texts
 from .common import lang_mod
+from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .langid import fit_language_model, identify
 from .line_dedup import html_lines, host_of, line_dedup
-from .mixing import mix_sources, text_kind
+from .mixing import SWEEPS, mix_sources, text_kind
 from .packing import pack_tokens
+from .repeats import remove_repeats
 from .simhash import simhash_dedup
 from .toxicity import fit_toxicity, toxicity
 
@@ -30,6 +32,10 @@ def training(docs: DataFrame) -> DataFrame:
     return docs.where(lang_mod(F.col("doc_id")) != HELD_OUT)
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_language_model(training(docs))
@@ -46,6 +52,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -72,7 +82,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_texts(table(spark, sf_dir, "documents"), digests_only=True).select(
+    return encode_texts(table(spark, sf_dir, "documents"), outputs=()).select(
         "doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256"
     )
 
@@ -88,9 +98,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_embeddings": op5_embeddings,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
@@ -98,4 +110,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _mixing_sql() -> str:
+    """Fixed sweeps of proportional fitting, written out step by step."""
+    margins = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+    none = "(none)"
+    steps = [
+        f"""d as (select doc_id, coalesce(source, '{none}') as source, coalesce(lang, '{none}') as lang,
+        case when contains(text, ' | ') then 'table' when contains(text, '!!') then 'shout'
+             when coalesce(length(text), 0) < 500 then 'short' when length(text) >= 5000 then 'long' else 'prose' end as topic,
+        coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\x0B]+')), 0)::bigint as n_tokens from documents)""",
+        "c as (select source, lang, topic, sum(n_tokens)::double as tokens from d group by all)",
+    ]
+    for m, power in margins.items():
+        steps.append(f"p_{m} as (select {m}, pow(sum(tokens), {power}) as power from c group by {m} having sum(tokens) > 0)")
+        steps.append(f"t_{m} as (select {m}, power / (select sum(power) from p_{m}) as target from p_{m})")
+    steps.append("f0 as (select *, 1.0::double as factor from c)")
+    last = 0
+    for _ in range(SWEEPS):
+        for m in margins:
+            steps.append(
+                f"""f{last + 1} as materialized (select x.source, x.lang, x.topic, x.tokens, x.factor * coalesce(s.step, 0) as factor from f{last} x
+                join (select {m}, max(target) * (select sum(tokens) from c) / nullif(sum(tokens * factor), 0) as step
+                      from f{last} left join t_{m} using ({m}) group by {m}) s using ({m}))"""
+            )
+            last += 1
+    return f"""with {", ".join(steps)},
+    g as (select source, lang, topic, case when tokens > 0 then round(factor, 6) else 1.0 end as factor from f{last}),
+    r as (select doc_id, source, lang, topic, n_tokens, factor, least(1.0, factor) as probability,
+          ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':42'), 1, 13))::bigint / 4503599627370496.0 as u
+          from d join g using (source, lang, topic))
+    select doc_id, source, lang, topic, n_tokens, factor, probability, u < probability as kept,
+           case when probability > 0 then round(factor / probability, 9) else 0.0 end as weight from r"""
+
+
+_LINES_SQL = r"""
+with p as (
+  select page_id, coalesce(lower(regexp_extract(url, '^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') as host,
+    regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'),
+      '(?i)</?(?:p|br|li|ul|ol|div|h[1-6]|nav|article|title|head|body|html|table|tr|td|th|section|header|footer)(?:[^a-z1-6>][^>]*)?>', chr(10), 'g'),
+      '<[^>]*>', '', 'g') as text
+  from pages),
+l as (
+  select page_id, host, pos, line, regexp_replace(line, '^[ 	]+|[ 	]+$', '', 'g') as k
+  from (select page_id, host, generate_subscripts(lines, 1) as pos, unnest(lines) as line
+        from (select page_id, host, string_split(coalesce(text, ''), chr(10)) as lines from p))),
+n as (select host, count(*) as n_pages from p group by host),
+bad as (
+  select host, k from (select host, k, count(distinct page_id) as n_with from l where k <> '' group by host, k) join n using (host)
+  where n_with >= 3 and n_with > n_pages * 0.1::double),
+m as (select l.*, bad.k is not null as gone from l left join bad on l.host = bad.host and l.k = bad.k),
+r as (
+  select page_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+         string_agg(line, chr(10) order by pos) filter (not gone) as kept from m group by page_id)
+select p.page_id, nullif(p.host, '') as host, case when p.text is null then 0 else n_lines end::bigint as n_lines, n_dropped::bigint as n_dropped,
+       case when p.text is null then null when n_dropped = 0 then p.text else coalesce(kept, '') end as text
+from p join r using (page_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_dedup": """
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents window w as (partition by coalesce(text, ''))
+""",
+    "op5_embeddings": """
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach as (select vec_id as node, vec_id as other from embeddings union select r.node, l.b from reach r join links l on l.a = r.other),
+low as (select node, min(other) as component_id from reach group by node),
+degree as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings join low on node = vec_id left join degree on a = vec_id
+""",
+    "op7_mixing": _mixing_sql(),
+    "op10_line_dedup": _LINES_SQL,
+}

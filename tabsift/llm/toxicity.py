@@ -1,20 +1,24 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A character trigram model of the corpus and a lexicon of words that mark toxic training texts are learned.  Tokens
-that look disguised (look-alike characters, letters apart, stretched letters) become lattices of what each
-observed character may stand for; Viterbi under the character model picks the restored spelling, and the
+A character trigram model of the corpus and a lexicon of words and word beginnings that mark toxic training texts are
+learned.  Tokens that look disguised (look-alike characters, letters apart, stretched letters) become lattices of
+what each observed character may stand for; Viterbi under the character model picks the restored spelling, and the
 restored words are scored.  Tokens without any alternative have one path through the lattice, themselves.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import unicode_tables as U
 from .common import map_texts
 
@@ -46,9 +50,16 @@ SWAP, SQUEEZE = 1.0, 0.2
 SYMBOLS = 64
 SMOOTH = 5.0
 
-#: The lexicon holds at most this many words, by log-likelihood ratio.
-LEXICON_SIZE = 5000
-MIN_RATIO, MIN_PRECISION = 20.0, 0.5
+#: A feature is a word or its first few letters.
+PREFIXES = range(3, 8)
+#: Candidate features: at most this many, those in most toxic training texts and in at least MIN_TEXTS.
+CANDIDATES, MIN_TEXTS = 50_000, 3
+#: A feature's log-likelihood ratio must exceed 2 ln V + MIN_RATIO, V being the number of candidates, so that few get in by
+#: chance whatever the size of the vocabulary; and its weight, the log of its share among words of toxic texts over that among
+#: others less CAUTION standard errors, must reach MIN_WEIGHT.
+MIN_RATIO, MIN_WEIGHT, CAUTION = 2.0, 2.0, 1.0
+#: Width and number of the bins in which sums of word weights are turned into probabilities.
+BIN, BINS = 0.5, 400
 REMEMBERED = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -60,12 +71,33 @@ _RIM = ".,;:?\"'()[]{}<>!-_~"
 @dataclass
 class ToxicityModel:
     log_p: np.ndarray  # SYMBOLS ** 3
-    lexicon: dict[str, float]  # word -> share of training texts with it that are toxic
-    base: float  # share of toxic training texts among those without a lexicon word
+    lexicon: dict[str, float]  # feature -> weight
+    chances: list[float]  # share of toxic texts by bin of the sum of weights, never falling
     memory: dict[str, str] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=dict)
 
     def __getstate__(self):
-        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "base": self.base, "memory": {}}
+        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "weights": {}}
+
+    def weight(self, word: str) -> float:
+        """The largest weight of the word's features; 0 if none is in the lexicon."""
+        if word not in self.weights:
+            if len(self.weights) >= REMEMBERED:
+                self.weights.clear()
+            self.weights[word] = max((self.lexicon.get(f, 0.0) for f in features(word)), default=0.0)
+        return self.weights[word]
+
+    def score(self, text: str | None) -> float:
+        return self.chances[_bin(sum(self.weight(w) * n for w, n in restored_words(text, self).items()))]
+
+
+def features(word: str) -> list[str]:
+    """The word and its beginnings (marked ``*``); none for words of fewer than three letters."""
+    return [word, *(word[:k] + "*" for k in PREFIXES if k < len(word))] if len(word) > 2 else []
+
+
+def _bin(weight: float) -> int:
+    return min(BINS - 1, math.ceil(weight / BIN))
 
 
 def _symbol(c: str) -> int:
@@ -127,37 +159,102 @@ def _portions(texts: list[str], limit: int = 2_000_000):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col: str = "text") -> ToxicityModel:
     """Learn from ``docs(doc_id, text)`` joined with ``labels(doc_id, toxic)`` and the character statistics of ``corpus``.
 
-    Words are counted once per text with map-side partials.  A lexicon word has a log-likelihood ratio of at least
-    MIN_RATIO and marks toxic texts in at least half of its texts.  Without labelled rows the
-    lexicon is empty and every score is 0.
+    Copies and most near copies (texts with the same smallest hash of five words in a row) count once per label, else
+    every word of a much copied toxic text would look toxic.  All labelled texts are read; what comes to the driver is bounded by CANDIDATES
+    and BINS.  Candidate features are counted in toxic texts, then in the others; sums of word weights over
+    the training texts then give the share of toxic ones by bin, made monotone.  Without toxic rows every score is the
+    share of toxic rows (0 without any).
     """
-    marked = docs.join(labels.where(F.col("toxic").isNotNull()).select("doc_id", "toxic"), "doc_id").select(
-        F.coalesce(F.col("toxic").cast("int"), F.lit(0)).alias("toxic"),
-        F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}]+")).alias("words"),
-    )
-    counts = marked.select("toxic", F.explode(F.concat("words", F.array(F.lit("\n")))).alias("word")).groupBy("word").agg(
-        F.sum("toxic").alias("bad"), F.count("*").alias("n")
+    log_p = fit_characters(corpus, text_col)
+    marked = (
+        docs.select("doc_id", F.col(text_col).alias("text"))
+        .join(labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), "doc_id")
     )
-    counts = counts.where((F.col("bad") > 2) | (F.col("word") == "\n"))
-    whole = counts.where(F.col("word") == "\n").first()
-    n_all, bad_all = (whole["n"], whole["bad"]) if whole else (0, 0)
-    lexicon: dict[str, float] = {}
-    base = 0.0
-    if bad_all:
-        prior = bad_all / n_all
-        p = F.col("bad") / F.col("n")
-        ratio = 2 * (F.col("bad") * F.log(p / prior) + F.when(p < 1, (F.col("n") - F.col("bad")) * F.log((1 - p) / (1 - prior))).otherwise(0.0))
-        best = counts.where((F.length("word") > 2) & (p >= MIN_PRECISION)).withColumn("ratio", ratio).where(F.col("ratio") >= MIN_RATIO)
-        for r in best.orderBy(F.desc("ratio"), "word").limit(LEXICON_SIZE).collect():
-            lexicon[r["word"]] = (r["bad"] + prior) / (r["n"] + 1)
-        listed = F.array(*[F.lit(w) for w in sorted(lexicon)]) if len(lexicon) <= 200 else None
-        if listed is not None:
-            rest = marked.where(~F.arrays_overlap("words", listed)) if lexicon else marked
-            left = rest.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-            base = left[1] / left[0] if left[0] else 0.0
-        else:
-            base = prior
-    return ToxicityModel(fit_characters(corpus, text_col), lexicon, base)
+    marked = materialize(map_texts(marked.select("text", "toxic"), _sketch, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
+    blank = ToxicityModel(log_p, {}, [0.0] * BINS)
+    bad = _feature_counts(marked.where(F.col("toxic") == 1), blank, None)
+    whole = bad.where(F.col("feature") == "").first()
+    if whole is None:
+        return blank
+    best = bad.where((F.col("texts") >= MIN_TEXTS) & (F.col("feature") != "")).orderBy(F.desc("texts"), "feature").limit(CANDIDATES)
+    candidates = {r["feature"]: (r["texts"], r["words"]) for r in best.collect()}
+    good = {r["feature"]: (r["texts"], r["words"]) for r in _feature_counts(marked.where(F.col("toxic") != 1), blank, candidates).collect()}
+    n_bad, bad_words, (n_good, good_words) = whole["texts"], whole["words"], good.pop("", (0, 0))
+    bar = 2 * math.log(max(1, len(candidates))) + MIN_RATIO
+    lexicon = {}
+    for f, (texts, words) in candidates.items():
+        other_texts, other_words = good.get(f, (0, 0))
+        lift = math.log((words + 0.5) / (bad_words + 1)) - math.log((other_words + 0.5) / (good_words + 1))
+        sure = lift - CAUTION * math.sqrt(1 / (texts + 0.5) + 1 / (other_texts + 0.5))
+        if sure >= MIN_WEIGHT and _ratio(texts, n_bad, other_texts, n_good) >= bar:
+            lexicon[f] = sure
+    model = ToxicityModel(log_p, lexicon, [0.0] * BINS)
+    model.chances = _chances(marked, model)
+    return model
+
+
+def _sketch(cols):
+    out = []
+    for text in cols["text"]:
+        words = (text or "").lower().split()
+        out.append(min((xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), default=0) - 2**63)
+    return {"text": cols["text"], "toxic": cols["toxic"], "sketch": out}
+
+
+def _ratio(a: int, n: int, b: int, m: int) -> float:
+    """Log-likelihood ratio of a feature in ``a`` of ``n`` against ``b`` of ``m`` texts; 0 if no more frequent in the first."""
+    if not n or not m or a * m <= b * n:
+        return 0.0 if m else 2 * a * math.log(2)
+    part = lambda k, t, p: k * math.log(k / t / p) if k else 0.0
+    p = (a + b) / (n + m)
+    return 2 * (part(a, n, p) + part(b, m, p) + part(n - a, n, 1 - p) + part(m - b, m, 1 - p))
+
+
+def _feature_counts(texts: DataFrame, model: ToxicityModel, wanted) -> DataFrame:
+    """``feature, texts, words``: texts that hold a feature and its occurrences, summed per task first; ``""`` stands for all."""
+    wanted = None if wanted is None else frozenset(wanted)
+
+    def count(batches):
+        import pyarrow as pa
+
+        in_texts, in_words = Counter(), Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = Counter()
+                words = restored_words(text, model)
+                for word, n in words.items():
+                    for f in features(word):
+                        if wanted is None or f in wanted:
+                            own[f] += n
+                own[""] = sum(words.values())
+                in_texts.update(own.keys())
+                in_words.update(own)
+        names = list(in_texts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array([in_texts[f] for f in names], pa.int64()), pa.array([in_words[f] for f in names], pa.int64())],
+            names=["feature", "texts", "words"],
+        )
+
+    rows = texts.select("text").mapInArrow(count, "feature string, texts long, words long")
+    return rows.groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("words").alias("words"))
+
+
+def _chances(marked: DataFrame, model: ToxicityModel) -> list[float]:
+    """Share of toxic texts by bin of the weight sum, pooled until it never falls (adjacent violators)."""
+
+    def place(cols):
+        return {"toxic": cols["toxic"], "bin": [_bin(sum(model.weight(w) * n for w, n in restored_words(t, model).items())) for t in cols["text"]]}
+
+    rows = map_texts(marked, place, "toxic int, bin int").groupBy("bin").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).collect()
+    blocks: list[list[float]] = []  # bad, n, bins
+    seen = {r["bin"]: (r["bad"], r["n"]) for r in rows}
+    for k in range(BINS):
+        bad, n = seen.get(k, (0, 0))
+        blocks.append([bad, n, 1])
+        while len(blocks) > 1 and (not blocks[-1][1] or not blocks[-2][1] or blocks[-2][0] * blocks[-1][1] > blocks[-1][0] * blocks[-2][1]):
+            last = blocks.pop()
+            blocks[-1] = [x + y for x, y in zip(blocks[-1], last)]
+    return [bad / n if n else 0.0 for bad, n, size in blocks for _ in range(size)]
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -212,39 +309,41 @@ def spellings(token: str, model: ToxicityModel) -> list[str]:
     return model.memory[token].split("\n")
 
 
-def restored_words(text: str, model: ToxicityModel) -> set[str]:
-    """Lower-cased words of the text, and of its disguised parts as restored."""
-    low = text.lower()
-    words = set(_WORD.findall(low))
+def restored_words(text: str | None, model: ToxicityModel) -> Counter:
+    """Lower-cased words of the text with their number, and those of its disguised parts as restored."""
+    low = (text or "").lower()
+    words = Counter(_WORD.findall(low))
+    extra: set[str] = set()
     for token in {t for t in low.split() if not t.isalpha()}:
-        core = token.strip(_RIM)
+        core = token.rstrip(_RIM)
         if not core.isalpha() and any(c in LOOKALIKES for c in core) and any(c.isalpha() for c in core):
-            words.update(spellings(token, model))
+            extra.update(spellings(token, model))
     if _STRETCHED.search(low):
-        for word in [w for w in words if _STRETCHED.search(w)]:
-            words.update(spellings(word, model))
+        for word in words:
+            if _STRETCHED.search(word):
+                extra.update(spellings(word, model))
     for spaced in _APART.findall(low):
-        joined = re.sub(r"[ .\-_*~]", "", spaced)
-        words.update(spellings(joined, model))
+        extra.update(spellings(re.sub(r"[ .\-_*~]", "", spaced), model))
+    for word in extra:
+        if word and word not in words:
+            words[word] = 1
     return words
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score double, toxic_words array<string>``; one row per input row, whole texts.
 
-    Null and empty texts get the model's base rate.  Ids may be null or repeat; other columns are ignored; an empty
+    ``toxic_words`` are the restored words of positive weight.  Null and empty texts have no words and get the share of toxic
+    training texts without a lexicon word.  Ids may be null or repeat; other columns are ignored; an empty
     table gives no rows.
     """
 
     def fn(cols):
         out = {"doc_id": cols["doc_id"], "score": [], "toxic_words": []}
         for text in cols["text"]:
-            found = sorted(w for w in restored_words(text, model) if w in model.lexicon) if text and model.lexicon else []
-            keep = 1.0 - model.base
-            for w in found:
-                keep *= 1.0 - model.lexicon[w]
-            out["score"].append(min(1.0, max(0.0, 1.0 - keep)))
-            out["toxic_words"].append(found)
+            weights = {w: model.weight(w) * n for w, n in restored_words(text, model).items() if model.weight(w)}
+            out["score"].append(model.chances[_bin(sum(weights.values()))])
+            out["toxic_words"].append(sorted(weights))
         return out
 
     view = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

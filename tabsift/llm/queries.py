@@ -177,7 +177,7 @@ from documents window w as (partition by coalesce(text, ''))
     "op5_embeddings": """
 with recursive v as (
   select vec_id, embedding::double[] as e from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0),
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (
   select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
   where list_cosine_similarity(a.e, b.e) >= 0.9),

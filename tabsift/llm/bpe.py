@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with content-defined chunk reuse.
 
-Texts are cut at rolling-hash boundaries.  Each distinct chunk of the corpus is encoded once, in the task its
-digest is dealt to, and its ids are sent to the texts that contain it.  A chunk cut in mid-word tokenises
-wrongly at its rims, so every join is repaired: the text between the last safe cut before the join and the first
+Texts are cut at rolling-hash boundaries.  Each distinct chunk of the corpus is encoded once: a chunk of one text only
+with that text, a chunk that several texts share with the one that owns it, whose ids are sent to the others.
+Only recipes (chunk digests), one compressed copy of each distinct text and the ids of shared chunks and of the texts that
+wait for them are moved.  A chunk cut in mid-word tokenises wrongly at its rims, so every join is repaired: the text between the last safe cut before the join and the first
 one after it is encoded anew; where a chunk has no safe cut the window grows over it and the next, up to the
 whole text.  A safe cut is a place between a non-space and an ASCII space.  The pre-tokeniser never
 matches across such a place and never looks past it, so ids on either side are independent and the repaired ids
@@ -33,6 +34,7 @@ REMEMBERED = 300_000
 # Fixed value: the pre-tokenisation pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+_NO_ID = -(2**63)
 _DOUBLE_SPACE = re.compile(r"\s ")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -146,10 +148,11 @@ def _cut(text: str | None):
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_key binary, n_bytes, chunks array<binary>``: the ordered chunk digests of each row; ``text_key`` sums them up."""
+    """``doc_id, tag long, text_key binary, n_bytes, chunks array<binary>``: the ordered chunk digests of each row.
+    ``text_key`` sums them up; ``tag`` tells the texts of a repeated or null id apart."""
 
     def fn(cols):
-        out = {"doc_id": cols["doc_id"], "text_key": [], "n_bytes": [], "chunks": []}
+        out = {"doc_id": cols["doc_id"], "tag": cols["tag"], "text_key": [], "n_bytes": [], "chunks": []}
         for text in cols["text"]:
             keys, n = [], 0
             for key, chunk in _cut(text):
@@ -160,47 +163,21 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             out["text_key"].append(hashlib.sha256(b"".join(keys)).digest())
         return out
 
-    view = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return map_texts(view, fn, "doc_id long, text_key binary, n_bytes long, chunks array<binary>")
+    return map_texts(_tagged(docs, id_col, text_col), fn, "doc_id long, tag long, text_key binary, n_bytes long, chunks array<binary>")
 
 
-def encoded_chunks(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """``chunk, packed, first, last``: the ids of each distinct chunk of the corpus, encoded once.
+def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col), F.lit(_NO_ID)).alias("doc_id"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
 
-    A map-side slice sends each of its chunks once, compressed; equal chunks of all slices meet in one task,
-    which encodes the first and passes over the rest.
-    """
-
-    def gather(cols):
-        press = zstandard.ZstdCompressor(level=3).compress
-        own = {}
-        for text in cols["text"]:
-            for key, chunk in _cut(text):
-                if key not in own:
-                    own[key] = press(chunk)
-        return {"chunk": list(own), "body": list(own.values())}
 
-    def encode(batches):
-        import pyarrow as pa
+def _compressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, tag, body``: texts compressed for the shuffle."""
 
-        tool, seen = coder(vocabulary), set()
-        unpack, press = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            out = {"chunk": [], "packed": [], "first": [], "last": []}
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key in seen:
-                    continue
-                seen.add(key)
-                ids, first, last = tool.encode_chunk(unpack(body).decode())
-                out["chunk"].append(key)
-                out["packed"].append(press(pack_ids(ids, len(tool.bytes_of))))
-                out["first"].append(first)
-                out["last"].append(last)
-            kinds = (pa.binary(), pa.binary(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+    def fn(cols):
+        press = zstandard.ZstdCompressor(level=3).compress
+        return {"doc_id": cols["doc_id"], "tag": cols["tag"], "body": [press((t or "").encode()) for t in cols["text"]]}
 
-    bodies = map_texts(docs.select(F.col(text_col).alias("text")), gather, "chunk binary, body binary")
-    return bodies.repartition("chunk").mapInArrow(encode, "chunk binary, packed binary, first int, last int")
+    return map_texts(_tagged(docs, id_col, text_col), fn, "doc_id long, tag long, body binary")
 
 
 def pack_ids(ids: np.ndarray, vocabulary_size: int) -> bytes:
@@ -211,57 +188,136 @@ def unpack_ids(data: bytes, vocabulary_size: int) -> np.ndarray:
     return np.frombuffer(data, "<u2" if vocabulary_size <= 65536 else "<u4").astype("<u4")
 
 
+#: What a text's own task returns: a finished text, the parts of a text that waits for shared chunks, or an owned shared chunk.
+_DONE, _PART, _SHARED = 0, 1, 2
+_RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+_EXTRA = {"ids": "ids binary", "decoded": "decoded string"}
+
+
+def _finish(tool: Coder, ids: np.ndarray, outputs: tuple[str, ...]) -> dict:
+    raw, text = ids.tobytes(), tool.decode(ids)
+    row = {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(raw).hexdigest(), "decoded_sha256": hashlib.sha256(text.encode()).hexdigest()}
+    return row | {n: {"ids": raw, "decoded": text}[n] for n in outputs}
+
+
+def _encode_own(vocabulary: str | None, outputs: tuple[str, ...]):
+    """Per text: encode all chunks but those another text owns."""
+
+    def fn(cols):
+        tool = coder(vocabulary)
+        unpack, press = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
+        names = ["kind", "text_key", "seq", "chunk", "packed", "first", "last", "n_tokens", "ids_sha256", "decoded_sha256", *outputs]
+        out: dict[str, list] = {n: [] for n in names}
+
+        def add(**cells):
+            for n in names:
+                out[n].append(cells.get(n))
+
+        for key, body, foreign, owned in zip(cols["text_key"], cols["body"], cols["foreign"], cols["owned"]):
+            skip, lend = set(foreign or ()), set(owned or ())
+            parts, memory = [], {}
+            for seq, (chunk, data) in enumerate(_cut(unpack(body).decode())):
+                if seq in skip:
+                    continue
+                if chunk not in memory:
+                    memory[chunk] = tool.encode_chunk(data.decode())
+                    if seq in lend:
+                        ids, first, last = memory[chunk]
+                        add(kind=_SHARED, chunk=chunk, packed=press(pack_ids(ids, len(tool.bytes_of))), first=first, last=last)
+                parts.append((seq, *memory[chunk]))
+            if not skip:
+                add(kind=_DONE, text_key=key, **_finish(tool, tool.join([p[1:] for p in parts]), outputs))
+            for seq, ids, first, last in parts if skip else ():
+                add(kind=_PART, text_key=key, seq=seq, packed=press(pack_ids(ids, len(tool.bytes_of))), first=first, last=last)
+        return out
+
+    return fn
+
+
+def _assemble(vocabulary: str | None, outputs: tuple[str, ...]):
+    """Per text that waited: join its parts and the shared chunks."""
+
+    def fn(cols):
+        tool, unpack = coder(vocabulary), zstandard.ZstdDecompressor().decompress
+        for key, parts in zip(cols["text_key"], cols["parts"]):
+            row = sorted(parts, key=lambda p: p["seq"])
+            ids = tool.join([(unpack_ids(unpack(p["packed"]), len(tool.bytes_of)), p["first"], p["last"]) for p in row])
+            yield {"text_key": key} | _finish(tool, ids, outputs)
+
+    return fn
+
+
 def encode_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, outputs: tuple[str, ...] = ("ids", "decoded")
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and the ``outputs`` asked for, of ``ids binary`` (little-endian
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes`` and the ``outputs`` asked for, of ``ids binary`` (little-endian
     unsigned 32-bit) and ``decoded string``; one row per input row.
 
     Ids are those of the tokenizers library with ``add_special_tokens=False`` (the special token's own string
     in a text becomes its id); ``decoded`` is the library's decode of them.  Null is the empty text: no ids.
     Each distinct text is put together once, whatever the number of its copies.  Repeated rows and ids repeat in
-    the result; an empty table gives no rows; other columns are ignored.
+    the result, null ids are allowed; an empty table gives no rows; other columns are ignored.
     """
     listed = materialize(recipes(docs, id_col, text_col))
-    texts = materialize(listed.groupBy("text_key").agg(F.count("*").alias("rows"), F.max("chunks").alias("chunks")))
+    texts = materialize(
+        listed.groupBy("text_key").agg(F.count("*").alias("rows"), F.min(F.struct("doc_id", "tag")).alias("from"), F.max("chunks").alias("chunks"))
+    )
     total = texts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     uses = texts.select("text_key", F.posexplode("chunks").alias("seq", "chunk"))
-    weights = materialize(uses.groupBy("chunk").agg(F.count("*").alias("uses")))
-    n_uses = weights.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
-    sized = encoded_chunks(docs, text_col, vocabulary).join(weights, "chunk")
-    placed = _join_chunks(uses, sized, n_uses)
-    parts = placed.groupBy("text_key").agg(F.collect_list(F.struct("seq", "first", "last", "packed")).alias("parts"))
-
-    def assemble(batches):
-        tool, unpack = coder(vocabulary), zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = sorted(batch.column(1)[i].as_py(), key=lambda p: p["seq"])
-                ids = tool.join([(unpack_ids(unpack(p["packed"]), len(tool.bytes_of)), p["first"], p["last"]) for p in row])
-                raw, text = ids.tobytes(), tool.decode(ids)
-                made = {"ids": raw, "decoded": text}
-                cells = [batch.column(0)[i].as_py(), len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
-                cells += [made[n] for n in outputs]
-                yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
-
-    import pyarrow as pa
-
-    names = ["text_key", "n_tokens", "ids_sha256", "decoded_sha256", *outputs]
-    kinds = [pa.binary(), pa.int64(), pa.string(), pa.string(), *({"ids": pa.binary(), "decoded": pa.string()}[n] for n in outputs)]
-    ddl = {"ids": ", ids binary", "decoded": ", decoded string"}
-    schema = "text_key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" + "".join(ddl[n] for n in outputs)
-    done = materialize(parts.mapInArrow(assemble, schema))
-    members = listed.select("doc_id", "text_key", "n_bytes")
+    shared = materialize(
+        uses.groupBy("chunk").agg(F.count("*").alias("uses"), F.min("text_key").alias("owner"), F.max("text_key").alias("other")).where(F.col("owner") != F.col("other"))
+    )
+    n_uses = shared.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    tied = materialize(join_hot(uses, shared.select("chunk", "owner", "uses"), "chunk", "uses", n_uses))
+    mine = F.col("text_key") == F.col("owner")
+    ties = tied.groupBy("text_key").agg(
+        F.collect_list(F.when(~mine, F.col("seq"))).alias("foreign"), F.collect_list(F.when(mine, F.col("seq"))).alias("owned")
+    )
+    info = texts.select("text_key", F.col("from.doc_id").alias("doc_id"), F.col("from.tag").alias("tag")).join(ties, "text_key", "left")
+    once = _compressed(docs, id_col, text_col).join(info, ["doc_id", "tag"]).select("text_key", "body", "foreign", "owned")
+    extra = "".join(f", {_EXTRA[n]}" for n in outputs)
+    schema = f"kind int, text_key binary, seq int, chunk binary, packed binary, first int, last int, {_RESULT}{extra}"
+    made = materialize(map_texts(once, _encode_own(vocabulary, outputs), schema, text="body"))
+    result = ["text_key", "n_tokens", "ids_sha256", "decoded_sha256", *outputs]
+    lent = made.where(F.col("kind") == _SHARED).dropDuplicates(["chunk"]).select("chunk", "packed", "first", "last")
+    sized = lent.join(shared.select("chunk", "uses"), "chunk")
+    borrowed = join_hot(tied.where(~mine).select("text_key", "seq", "chunk"), sized, "chunk", "uses", n_uses)
+    piece = F.struct("seq", "first", "last", "packed")
+    waiting = (
+        made.where(F.col("kind") == _PART).select("text_key", piece.alias("p")).unionByName(borrowed.select("text_key", piece.alias("p")))
+        .distinct()  # a row of the input that repeats gives its parts twice
+        .groupBy("text_key").agg(F.collect_list("p").alias("parts"))
+    )
+    late = waiting.mapInArrow(_rows_of(_assemble(vocabulary, outputs), f"text_key binary, {_RESULT}{extra}"), f"text_key binary, {_RESULT}{extra}")
+    done = materialize(made.where(F.col("kind") == _DONE).select(*result).dropDuplicates(["text_key"]).unionByName(late.select(*result)))
+    members = listed.select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "text_key", "n_bytes")
     if outputs:  # a text with its ids may be long, so nothing is broadcast here
         coded = members.join(done, "text_key", "left")
     else:
-        coded = join_hot(members, done.join(texts.select("text_key", "rows"), "text_key"), "text_key", "rows", total, "left")
-    nothing = hashlib.sha256(b"").hexdigest()
-    fill = {"n_tokens": F.lit(0), "ids_sha256": F.lit(nothing), "decoded_sha256": F.lit(nothing), "ids": F.lit(b""), "decoded": F.lit("")}
-    return coded.select("doc_id", *(F.coalesce(n, fill[n]).alias(n) for n in names[1:]), "n_bytes")
+        coded = join_hot(members, done.join(texts.select("text_key", "rows"), "text_key"), "text_key", "rows", total)
+    return coded.select("doc_id", *result[1:], "n_bytes")
 
 
-def _join_chunks(uses: DataFrame, sized: DataFrame, n_uses: int) -> DataFrame:
-    """Uses of chunks with their ids.  Chunks of more than one part in 200 of all uses (fewer than 200 chunks
-    of at most LARGEST bytes) are broadcast by :func:`join_hot`, the others shuffled."""
-    return join_hot(uses, materialize(sized), "chunk", "uses", n_uses)
+def _rows_of(fn, schema: str):
+    """``fn`` over one row at a time (a row holds a whole text's parts); results leave in batches of up to 256 rows or 8 MB."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        rows, size = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                for row in fn({n: one.column(k).to_pylist() for k, n in enumerate(one.schema.names)}):
+                    rows.append(row)
+                    size += 8 * row["n_tokens"]
+                if len(rows) >= 256 or size > 8_000_000:
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return run

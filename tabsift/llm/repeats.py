@@ -326,8 +326,8 @@ def _cut_pieces(buckets: int, length: int, width: int):
     import xxhash
 
     def fn(cols):
+        out = {k: [] for k in ("bucket", "owner", "salts", "doc_id", "tag", "start", "piece")}
         for doc, tag, text, shared in zip(cols["doc_id"], cols["tag"], cols["text"], cols["shared"]):
-            out = {k: [] for k in ("bucket", "owner", "salts", "doc_id", "tag", "start", "piece")}
             data = text.encode()
             by_bucket: dict[tuple, list[int]] = {}
             for s in shared:
@@ -345,7 +345,7 @@ def _cut_pieces(buckets: int, length: int, width: int):
                 for a, b in zip(first[np.append(0, cut)].tolist(), last[np.append(cut - 1, len(at) - 1)].tolist()):
                     for k, v in zip(out, (bucket, owner, salts, doc, tag, a, data[a:b])):
                         out[k].append(v)
-            yield out
+        return out
 
     return fn
 

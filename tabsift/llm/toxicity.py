@@ -73,22 +73,46 @@ class ToxicityModel:
     log_p: np.ndarray  # SYMBOLS ** 3
     lexicon: dict[str, float]  # feature -> weight
     chances: list[float]  # share of toxic texts by bin of the sum of weights, never falling
-    memory: dict[str, str] = field(default_factory=dict)
-    weights: dict[str, float] = field(default_factory=dict)
+    memory: dict[str, str] = field(default_factory=dict)  # spellings of disguised tokens
+    tokens: dict[str, tuple] = field(default_factory=dict)  # (word, weight) pairs of tokens
+    heads: frozenset | None = None
 
     def __getstate__(self):
-        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "weights": {}}
+        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "tokens": {}, "heads": None}
 
     def weight(self, word: str) -> float:
         """The largest weight of the word's features; 0 if none is in the lexicon."""
-        if word not in self.weights:
-            if len(self.weights) >= REMEMBERED:
-                self.weights.clear()
-            self.weights[word] = max((self.lexicon.get(f, 0.0) for f in features(word)), default=0.0)
-        return self.weights[word]
+        return max((self.lexicon.get(f, 0.0) for f in features(word)), default=0.0)
+
+    def weigh(self, text: str | None) -> dict[str, float]:
+        """Weights of the text's restored words that have any, times their number."""
+        out: dict[str, float] = {}
+        low = (text or "").lower()
+        known, heads, stretched = self.tokens, self._heads(), _STRETCHED.search(low)
+        for token, n in Counter(low.split()).items():
+            core = token.strip(_RIM)
+            if core.isalpha() and core[:3] not in heads and not (stretched and _STRETCHED.search(core)) and token[0] == core[0]:
+                continue  # a plain word that no feature begins
+            hits = known.get(token)
+            if hits is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                hits = known[token] = tuple((w, x) for w in token_words(token, self) if (x := self.weight(w)))
+            for w, x in hits:
+                out[w] = out.get(w, 0.0) + x * n
+        for w in spaced_words(low, self):
+            if w not in out and (x := self.weight(w)):
+                out[w] = x
+        return out
+
+    def _heads(self) -> frozenset[str]:
+        """First three letters of the lexicon's features."""
+        if self.heads is None:
+            self.heads = frozenset(f[:3] for f in self.lexicon)
+        return self.heads
 
-    def score(self, text: str | None) -> float:
-        return self.chances[_bin(sum(self.weight(w) * n for w, n in restored_words(text, self).items()))]
+    def chance(self, weights: dict[str, float]) -> float:
+        return self.chances[_bin(sum(weights.values()))]
 
 
 def features(word: str) -> list[str]:
@@ -243,7 +267,7 @@ def _chances(marked: DataFrame, model: ToxicityModel) -> list[float]:
     """Share of toxic texts by bin of the weight sum, pooled until it never falls (adjacent violators)."""
 
     def place(cols):
-        return {"toxic": cols["toxic"], "bin": [_bin(sum(model.weight(w) * n for w, n in restored_words(t, model).items())) for t in cols["text"]]}
+        return {"toxic": cols["toxic"], "bin": [_bin(sum(model.weigh(t).values())) for t in cols["text"]]}
 
     rows = map_texts(marked, place, "toxic int, bin int").groupBy("bin").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).collect()
     blocks: list[list[float]] = []  # bad, n, bins
@@ -309,24 +333,34 @@ def spellings(token: str, model: ToxicityModel) -> list[str]:
     return model.memory[token].split("\n")
 
 
-def restored_words(text: str | None, model: ToxicityModel) -> Counter:
-    """Lower-cased words of the text with their number, and those of its disguised parts as restored."""
-    low = (text or "").lower()
-    words = Counter(_WORD.findall(low))
+def token_words(token: str, model: ToxicityModel) -> list[str]:
+    """Words in a lower-cased token, then those it may disguise."""
+    words = _WORD.findall(token)
     extra: set[str] = set()
-    for token in {t for t in low.split() if not t.isalpha()}:
+    if not token.isalpha():
         core = token.rstrip(_RIM)
         if not core.isalpha() and any(c in LOOKALIKES for c in core) and any(c.isalpha() for c in core):
             extra.update(spellings(token, model))
-    if _STRETCHED.search(low):
-        for word in words:
-            if _STRETCHED.search(word):
-                extra.update(spellings(word, model))
-    for spaced in _APART.findall(low):
-        extra.update(spellings(re.sub(r"[ .\-_*~]", "", spaced), model))
-    for word in extra:
-        if word and word not in words:
-            words[word] = 1
+    for word in words:
+        if _STRETCHED.search(word):
+            extra.update(spellings(word, model))
+    return words + [w for w in sorted(extra) if w and w not in words]
+
+
+def spaced_words(low: str, model: ToxicityModel) -> set[str]:
+    """Words written with their letters apart."""
+    return {w for spaced in _APART.findall(low) for w in spellings(re.sub(r"[ .\-_*~]", "", spaced), model) if w}
+
+
+def restored_words(text: str | None, model: ToxicityModel) -> Counter:
+    """Lower-cased words of the text with their number, and those of its disguised parts as restored."""
+    low = (text or "").lower()
+    words: Counter = Counter()
+    for token, n in Counter(low.split()).items():
+        for word in token_words(token, model):
+            words[word] += n
+    for word in spaced_words(low, model):
+        words.setdefault(word, 1)
     return words
 
 
@@ -341,8 +375,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text
     def fn(cols):
         out = {"doc_id": cols["doc_id"], "score": [], "toxic_words": []}
         for text in cols["text"]:
-            weights = {w: model.weight(w) * n for w, n in restored_words(text, model).items() if model.weight(w)}
-            out["score"].append(model.chances[_bin(sum(weights.values()))])
+            weights = model.weigh(text)
+            out["score"].append(model.chance(weights))
             out["toxic_words"].append(sorted(weights))
         return out
 

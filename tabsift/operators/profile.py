@@ -8,6 +8,7 @@ partial aggregation runs map-side; the one-row result is turned into one row per
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,25 @@ def _fields(df: DataFrame, columns: Iterable[str] | None) -> list[T.StructField]
     return [df.schema[n] for n in names]
 
 
-def _long_form(df: DataFrame, aggs: list[Column], rows: list[Column], empty_schema: str) -> DataFrame:
-    """One row per struct in ``rows`` from the one-row aggregate ``df.agg(*aggs)``; no columns to
-    profile gives an empty table of ``empty_schema`` (no job)."""
-    if not rows:
+#: Aggregates in one pass.  Beyond about 100 fields Spark gives up whole-stage code generation for an aggregate.
+PASS_AGGREGATES = 48
+
+
+def long_form(df: DataFrame, parts: list[tuple[list[Column], Column]], empty_schema: str) -> DataFrame:
+    """One row per ``(aggregates, struct of them)`` in ``parts``; nothing to profile gives an empty table of
+    ``empty_schema`` (no job).
+
+    Wide tables take several passes, each over its own columns only (so a columnar source is still read once) and
+    each narrow enough to be compiled."""
+    if not parts:
         return df.sparkSession.createDataFrame([], empty_schema)
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    passes: list[list[tuple[list[Column], Column]]] = [[]]
+    for part in parts:
+        if passes[-1] and sum(len(aggs) for aggs, _ in passes[-1]) + len(part[0]) > PASS_AGGREGATES:
+            passes.append([])
+        passes[-1].append(part)
+    frames = [df.agg(*(a for aggs, _ in own for a in aggs)).select(F.inline(F.array(*(row for _, row in own)))) for own in passes]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def sentinel_match(c: Column, sentinels: Sequence[str], ignore_case: bool = False) -> Column:
@@ -56,9 +70,9 @@ def profile_columns(
     (``isnan`` on other types is a type error, D7).
     """
     fields = _fields(df, columns)
-    aggs, rows = [], []
+    parts = []
     for i, f in enumerate(fields):
-        c = qcol(f.name)
+        aggs, c = [], qcol(f.name)
         aggs.append(F.count_if(c.isNull()).alias(f"null_{i}"))
         sent = nan = inf = F.lit(0)
         if isinstance(f.dataType, T.StringType):
@@ -68,17 +82,16 @@ def profile_columns(
             aggs.append(F.count_if(F.isnan(c)).alias(f"nan_{i}"))
             aggs.append(F.count_if(c.isin(INF, -INF)).alias(f"inf_{i}"))
             nan, inf = F.col(f"nan_{i}"), F.col(f"inf_{i}")
-        rows.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"null_{i}").cast("bigint").alias("n_null"),
-                sent.cast("bigint").alias("n_sentinel"),
-                nan.cast("bigint").alias("n_nan"),
-                inf.cast("bigint").alias("n_inf"),
-            )
+        row = F.struct(
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f"null_{i}").cast("bigint").alias("n_null"),
+            sent.cast("bigint").alias("n_sentinel"),
+            nan.cast("bigint").alias("n_nan"),
+            inf.cast("bigint").alias("n_inf"),
         )
-    return _long_form(df, aggs, rows, "column string, data_type string, n_null bigint, n_sentinel bigint, "
+        parts.append((aggs, row))
+    return long_form(df, parts, "column string, data_type string, n_null bigint, n_sentinel bigint, "
                       "n_nan bigint, n_inf bigint")
 
 
@@ -103,7 +116,7 @@ def profile_uncastable(df: DataFrame, schema: T.StructType) -> DataFrame:
         )
         for i, f in enumerate(targets)
     ]
-    return _long_form(df, aggs, rows, "column string, target_type string, n_uncastable bigint")
+    return long_form(df, [([a], r) for a, r in zip(aggs, rows)], "column string, target_type string, n_uncastable bigint")
 
 
 def sample_uncastable(df: DataFrame, column: str, target: T.DataType | str, n: int = 5) -> DataFrame:
@@ -150,23 +163,22 @@ def constant_columns(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
     with a finite value (any NaN or Inf makes the stddev NaN, which is not constant).
     """
     fields = [f for f in _fields(df, columns) if isinstance(f.dataType, T.NumericType)]
-    aggs, rows = [], []
+    parts = []
     for i, f in enumerate(fields):
         c = qcol(f.name)
-        aggs += [F.stddev_samp(c).alias(f"sd_{i}"), F.count(c).alias(f"n_{i}"),
+        aggs = [F.stddev_samp(c).alias(f"sd_{i}"), F.count(c).alias(f"n_{i}"),
                  F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}")]
         lo, hi = F.col(f"lo_{i}"), F.col(f"hi_{i}")
         same = lo == hi
         if is_fractional(f.dataType):
             same = same & ~F.isnan(lo) & ~lo.isin(INF, -INF)
-        rows.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.col(f"sd_{i}").alias("stddev"),
-                ((F.col(f"n_{i}") <= 1) | same).alias("is_constant"),
-            )
+        row = F.struct(
+            F.lit(f.name).alias("column"),
+            F.col(f"sd_{i}").alias("stddev"),
+            ((F.col(f"n_{i}") <= 1) | same).alias("is_constant"),
         )
-    return _long_form(df, aggs, rows, "column string, stddev double, is_constant boolean")
+        parts.append((aggs, row))
+    return long_form(df, parts, "column string, stddev double, is_constant boolean")
 
 
 def constant_column_names(df: DataFrame, columns: Iterable[str] | None = None) -> list[str]:

@@ -13,13 +13,15 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsift.functions.exprs import qcol
 from tabsift.operators import clean as C
 from tabsift.operators.encode import fit_indexer, with_handle_invalid
 from tabsift.operators.evaluate import compare_configs
-from tabsift.operators.features import explained_variance, select_top_features
-from tabsift.operators.profile import constant_column_names, profile_columns, profile_uncastable
+from tabsift.operators.features import backproject_importance, explained_variance, importance_table, select_top_features
+from tabsift.operators.profile import class_distribution, constant_column_names, profile_columns, profile_uncastable, split_sizes
 from tabsift.operators.split import split
 from tabsift.operators.weights import class_weights, with_class_weight
 from tabsift.session import materialize
@@ -105,18 +107,23 @@ def prepare(
     fit then read it instead of recomputing features from the source (for text input, a re-read of
     every whole text per fit), and a lost executor re-reads it rather than the lineage.
 
-    The narrow table is spread round-robin over ``partitions`` (default: the session's default
-    parallelism, i.e. the cluster's cores) first.  Its partitioning would otherwise follow the input
-    files: text input gives many tiny partitions (each forest level pays per-task overhead on all of
-    them) or, for few files, fewer tasks than cores.  Round-robin, not hash on the key, so a hot key
-    cannot skew it.
+    Rows without a label: a null text label becomes the class ``unknown``; rows with a null numeric label are
+    left out, as there is nothing to learn from or to score them against.
+
+    The table keeps the input's partitioning (no shuffle), as the written table is split anew when read;
+    ``partitions`` spreads it round-robin over so many instead.
     """
     if spec.key is None:
         raise ValueError("prepare needs spec.key for a reproducible split")
     df = C.drop_columns(df, spec.drop + spec.categoricals)
     features = spec.feature_columns(df.columns)
     df = C.cast_columns(df, features, "double").select(spec.key, spec.label, *features)
-    df = df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+    if isinstance(df.schema[spec.label].dataType, T.StringType):
+        df = C.fill_category(df, [spec.label], "unknown")
+    else:
+        df = df.where(qcol(spec.label).isNotNull())
+    if partitions:
+        df = df.repartition(partitions)
     if checkpoint:
         df = materialize(df)
     train, test = split(df, spec.key, spec.split_ratio, spec.seed)
@@ -140,7 +147,9 @@ class RunResult:
     scores: DataFrame
     models: dict
     explained_variance: DataFrame | None = None
-    extras: dict = field(default_factory=dict)
+    classes: DataFrame | None = None
+    sizes: DataFrame | None = None
+    importances: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def run(
@@ -149,17 +158,29 @@ def run(
     configs: Sequence[ForestConfig] | None = None,
     select_n: int | None = 50,
     metrics: Sequence[str] = ("weightedPrecision", "f1"),
+    weighted: bool = True,
 ) -> RunResult:
-    """Prepare, then compare the configurations on the same split; scores as one DataFrame."""
+    """Prepare, then compare the configurations on the same split; scores as one DataFrame.
+
+    ``weighted=False`` fits without class weights.  The result also holds the class distribution of the training rows, the
+    split sizes and each fitted configuration's importances by input feature (through the loadings where PCA stands between).
+    """
     prepared = prepare(df, spec, select_n=select_n)
     configs = list(configs) if configs is not None else default_configs()
     scores, models = compare_configs(
         prepared.train, prepared.test, configs, prepared.features, prepared.label_col,
-        weight="class_weight", metrics=metrics,
+        weight="class_weight" if weighted else None, metrics=metrics,
     )
-    ev = None
+    spark, ev, importances = df.sparkSession, None, {}
     for cfg in configs:
         model = models.get(cfg.name)
-        if cfg.pca_k and model is not None:
-            ev = explained_variance(df.sparkSession, model.stages[-2])
-    return RunResult(prepared, scores, models, ev)
+        if model is None:
+            continue
+        if cfg.pca_k:
+            ev = explained_variance(spark, model.stages[-2])
+            importances[cfg.name] = backproject_importance(spark, model.stages[-2], model.stages[-1], prepared.features)
+        else:
+            importances[cfg.name] = importance_table(spark, model.stages[-1].featureImportances.toArray().tolist(), prepared.features)
+    halves = [part.select(F.lit(name).alias("split")) for name, part in (("train", prepared.train), ("test", prepared.test))]
+    sizes = split_sizes(halves[0].unionByName(halves[1]))
+    return RunResult(prepared, scores, models, ev, class_distribution(prepared.train, spec.label), sizes, importances)

@@ -53,21 +53,3 @@ def materialize(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     return spark.read.parquet(path)
 
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a small input over the session's cores before heavy per-row work.
-
-    A Parquet row group is the smallest unit a scan can split, so a file with one row group is read by
-    one task and every per-row step after it runs on one core until the next shuffle.  When the whole
-    input is smaller than one file split (``spark.sql.files.maxPartitionBytes``), one round-robin
-    shuffle of it (< one split of data) spreads the work; anything larger already has as many splits
-    as its size warrants and is returned unchanged (no shuffle at scale).
-    """
-    session = df.sparkSession
-    raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    size = raw if isinstance(raw, int) else int(raw.toString())
-    split = int(session._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    cores = session.sparkContext.defaultParallelism
-    if size < split and cores > 1:
-        return df.repartition(cores)
-    return df

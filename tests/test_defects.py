@@ -144,3 +144,71 @@ def test_d18_many_categories_one_hot_only(spark):
     enc = one_hot(fit_indexer(df, ["svc"], "keep").transform(df), ["svc_index"])
     vec = assemble(enc, ["svc_vec"])  # one-hot only: no nominal index column, so no maxBins limit
     assert train_forest(vec, "y", num_trees=3, max_depth=4).numFeatures == 40
+
+
+def _jobs(spark, fn):
+    import uuid
+
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = fn()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_flag_columns_do_not_stall_the_median(spark):
+    from tabsift.operators.clean import medians
+
+    df = spark.range(200_000).selectExpr(
+        "cast(id % 2 as int) flag", "cast(id % 2 as double) half", "cast(id % 3 = 0 as int) third", "cast(id % 2 as decimal(10,2)) dec",
+        "cast(case when id % 10 < 4 then 0 when id % 10 < 8 then 1000000000 else id end as bigint) ends",
+    )
+    got, jobs = _jobs(spark, lambda: medians(df, df.columns))
+    assert (got["flag"], got["half"], got["third"], float(got["dec"])) == (0, 0.0, 0, 0.0)
+    want = sorted(0 if i % 10 < 4 else 1000000000 if i % 10 < 8 else i for i in range(200_000))[99_999]
+    assert got["ends"] == want
+    one, jobs_one = _jobs(spark, lambda: medians(df, ["flag"]))
+    assert one == {"flag": 0} and jobs_one <= 6 and jobs <= 40
+
+
+def test_numeric_and_null_labels(spark):
+    from tabsift.plans.recipes import clean, prepare
+    from tabsift.spec import TableSpec
+
+    rows = [(i, None if i % 9 == 0 else i % 3, float(i % 7), f"c{i % 2}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, y int, x double, c string")
+    spec = TableSpec(label="y", key="id", categoricals=("c",))
+    cleaned = clean(df, spec).df
+    assert cleaned.where("y is null").count() == sum(r[1] is None for r in rows)
+    prepared = prepare(df, spec, select_n=None)
+    assert prepared.train.count() + prepared.test.count() == sum(r[1] is not None for r in rows)
+    text = df.selectExpr("id", "cast(y as string) y", "x", "c")
+    prepared = prepare(text, spec, select_n=None)
+    assert prepared.train.count() + prepared.test.count() == len(rows) and "unknown" in prepared.indexer.labels
+
+
+def test_split_ratio_is_not_rounded(spark):
+    import pytest
+
+    from tabsift.operators.split import split
+
+    with pytest.raises(ValueError):
+        split(spark.range(10), "id", 0.0004)
+
+
+def test_run_reports(spark, sf):
+    from tabsift.plans.recipes import run
+    from tabsift.plans.registry import DOC_SPEC
+    from tabsift.sources.fixtures import document_features, load_table
+
+    docs = load_table(spark, sf, "documents")
+    result = run(document_features(docs), DOC_SPEC, select_n=12)
+    assert {r.status for r in result.scores.collect()} == {"ok"}
+    assert {k for k, m in result.models.items() if m is not None} == set(result.importances)
+    for table in result.importances.values():
+        rows = table.collect()
+        assert len(rows) == 12 and all(r.importance >= 0 for r in rows)
+    assert sum(r[1] for r in result.sizes.collect()) == docs.count()
+    assert abs(sum(r.share for r in result.classes.collect()) - 1) < 1e-9

@@ -23,13 +23,14 @@ def _jobs(spark, action):
     return len(sc.statusTracker().getJobIdsForGroup(group))
 
 
-def test_profile_is_single_pass_whatever_the_width(spark):
+def test_profile_takes_a_few_passes_whatever_the_width(spark):
     wide = spark.range(0, 500).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(40)])
     one = _jobs(spark, lambda: P.profile_columns(wide).collect())
     loop = _jobs(spark, lambda: [wide.where(F.col(c).isNull()).count() for c in wide.columns])
-    assert one <= 2 < loop
+    passes = -(-40 // (P.PASS_AGGREGATES // 3))
+    assert one <= passes + 1 < loop
     plan = physical_plan(P.profile_columns(wide))
-    assert plan.count("HashAggregate") == 2  # one partial + one final for all 40 x 4 counts
+    assert plan.count("HashAggregate") == 2 * passes  # one partial + one final for each pass of 16 x 3 counts
 
 
 def test_column_pruning_reaches_scan(spark, sf):
@@ -55,7 +56,7 @@ def test_class_weight_join_falls_back_to_shuffle_beyond_bound(spark, sf):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = physical_plan(with_class_weight(docs, "lang", max_broadcast_rows=1))
+        plan = physical_plan(with_class_weight(docs, "lang", max_broadcast_bytes=1))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -94,13 +95,28 @@ def test_materialize_writes_under_the_shared_checkpoint_folder(spark, sf):
     assert all(local(f).startswith(local(checkpoint_dir(spark))) for f in out.inputFiles())
 
 
-def test_spread_only_small_inputs(spark, sf):
-    from tabsift.session import spread_small_input
+def test_prepare_does_not_shuffle_the_table(spark, sf):
+    from tabsift.plans.recipes import prepare
+    from tabsift.plans.registry import DOC_SPEC
+    from tabsift.sources.fixtures import document_features
 
-    small = load_table(spark, sf, "lineitem")
-    assert "RoundRobinPartitioning" in physical_plan(spread_small_input(small))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # now the table exceeds one split
+    docs = document_features(load_table(spark, sf, "documents"))
+    prepared = prepare(docs, DOC_SPEC, select_n=None, checkpoint=False)
+    assert "RoundRobin" not in physical_plan(prepared.test)
+
+
+def test_wide_profiles_stay_compiled(spark, sf):
+    from tabsift.operators.profile import constant_columns, profile_columns
+    from tabsift.plans.registry import _flows
+    from tabsift.session import materialize
+
+    flows = materialize(_flows(spark, sf))
+    numbers = materialize(flows.select(*(F.col(f"`{c}`").try_cast("double").alias(c) for c in flows.columns)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert "Exchange" not in physical_plan(spread_small_input(small))
+        for df in (profile_columns(flows), profile_columns(numbers), constant_columns(numbers)):
+            plan = physical_plan(df)
+            lines = [x for x in plan.split("\n") if "HashAggregate" in x]
+            assert lines and all("*(" in x for x in lines), lines[:2]
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.enabled")

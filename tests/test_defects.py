@@ -209,6 +209,6 @@ def test_run_reports(spark, sf):
     assert {k for k, m in result.models.items() if m is not None} == set(result.importances)
     for table in result.importances.values():
         rows = table.collect()
-        assert len(rows) == 12 and all(r.importance >= 0 for r in rows)
+        assert len(rows) == len(result.prepared.features) and all(r.importance >= 0 for r in rows)
     assert sum(r[1] for r in result.sizes.collect()) == docs.count()
     assert abs(sum(r.share for r in result.classes.collect()) - 1) < 1e-9

@@ -751,6 +751,91 @@ def q_run(spark, sf):
     return run(_docs(spark, sf), DOC_SPEC).scores.drop("fit_seconds")
 
 
+# Properties of the fits whose truth SQL reads off the tables; a failed or poor fit cannot match.
+_HALVES_SQL = f"""halves AS (SELECT CASE WHEN {SPLIT_BUCKET_SQL.format(k='doc_id')} < 800 THEN 'train' ELSE 'test' END AS split,
+  COALESCE(lang, 'unknown') AS lang FROM documents)"""
+
+
+@register("score_checks_lang", f"""
+WITH {_HALVES_SQL}
+SELECT split, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad_predictions, CAST(0 AS BIGINT) AS n_bad_probabilities
+FROM halves GROUP BY split
+""")
+def q_score_checks(spark, sf):
+    """Both halves scored: each row has a class of the label index and probabilities that sum to 1."""
+    p = _doc_train_test(spark, sf)
+    model = fit_config(p.train, ForestConfig("without_normalization"), p.features, p.label_col, "class_weight")
+    n_classes = len(p.indexer.labels)
+    halves = [score(model, half, p.label_col).withColumn("split", F.lit(name)) for name, half in (("train", p.train), ("test", p.test))]
+    total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    good = F.forall("probability", lambda x: (x >= 0) & (x <= 1)) & (F.abs(total - 1) < 1e-9) & (F.size("probability") == n_classes)
+    return halves[0].unionByName(halves[1]).groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(~F.coalesce(F.col("prediction").isin([float(i) for i in range(n_classes)]), F.lit(False))).alias("n_bad_predictions"),
+        F.count_if(~F.coalesce(good, F.lit(False))).alias("n_bad_probabilities"),
+    )
+
+
+@register("run_checks_lang", f"""
+WITH {_HALVES_SQL},
+shares AS (SELECT split, MAX(n) / SUM(n) AS majority FROM (SELECT split, lang, COUNT(*) AS n FROM halves GROUP BY split, lang) GROUP BY split)
+SELECT config, split, metric, 'ok' AS status, ROUND(majority, 6) AS majority, TRUE AS beats_majority FROM shares,
+  (VALUES ('without_normalization'), ('with_normalization'), ('with_normalization_pca')) AS c(config),
+  (VALUES ('weightedPrecision'), ('f1')) AS m(metric)
+""")
+def q_run_checks(spark, sf):
+    """Every configuration of the main flow is fitted and scores above the share of the largest class."""
+    result = run(_docs(spark, sf), DOC_SPEC)
+    label = result.prepared.label_col
+    halves = [half.select(label, F.lit(name).alias("split")) for name, half in (("train", result.prepared.train), ("test", result.prepared.test))]
+    sizes = halves[0].unionByName(halves[1]).groupBy("split", label).agg(F.count("*").alias("n"))
+    shares = sizes.groupBy("split").agg((F.max("n") / F.sum("n")).alias("majority"))
+    return result.scores.join(shares, "split").select(
+        "config", "split", "metric", "status", r6(F.col("majority")).alias("majority"),
+        F.coalesce(F.col("value") > F.col("majority"), F.lit(False)).alias("beats_majority"),
+    )
+
+
+@register("importance_checks_lang", f"""
+SELECT CAST({len(DOC_FEATURES)} AS BIGINT) AS n_features, CAST({len(DOC_FEATURES)} AS BIGINT) AS n_ranks, CAST(0 AS BIGINT) AS n_negative,
+  CAST(1 AS DOUBLE) AS total FROM documents HAVING COUNT(*) > 0
+""")
+def q_importance_checks(spark, sf):
+    """Importances cover every feature once, are not negative and sum to 1."""
+    table = q_feature_importance(spark, sf)
+    return table.agg(
+        F.countDistinct("feature").alias("n_features"),
+        F.countDistinct("rank").alias("n_ranks"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        r6(F.sum("importance")).alias("total"),
+    )
+
+
+@register("model_roundtrip_checks_lang", f"""
+WITH {_HALVES_SQL}
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_same FROM halves WHERE split = 'test'
+""")
+def q_model_roundtrip_checks(spark, sf):
+    """A model read back predicts what the one in memory does, on every test row."""
+    return q_model_roundtrip(spark, sf).agg(F.count("*").alias("n_rows"), F.count_if("same").alias("n_same"))
+
+
+@register("explained_variance_checks_lineitem", """
+WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS qe, corr(l_quantity, l_discount) AS qd, corr(l_quantity, l_tax) AS qt,
+  corr(l_extendedprice, l_discount) AS ed, corr(l_extendedprice, l_tax) AS et, corr(l_discount, l_tax) AS dt FROM lineitem)
+SELECT CAST(4 AS BIGINT) AS n_components, CAST(1 AS DOUBLE) AS total,
+  ROUND((4 + 2 * (qe*qe + qd*qd + qt*qt + ed*ed + et*et + dt*dt)) / 16, 6) AS sum_squares FROM c
+""")
+def q_explained_variance_checks(spark, sf):
+    """The ratios sum to 1, and their squares to the squared norm of the correlation matrix over its squared trace."""
+    ratios = q_explained_variance(spark, sf)
+    return ratios.agg(
+        F.count("*").alias("n_components"),
+        r6(F.sum("ratio")).alias("total"),
+        r6(F.sum(F.col("ratio") * F.col("ratio"))).alias("sum_squares"),
+    )
+
+
 def clean_sql(
     ctes: str,
     table: str,

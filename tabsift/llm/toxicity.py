@@ -60,11 +60,14 @@ CANDIDATES, MIN_TEXTS = 50_000, 3
 MIN_RATIO, MIN_WEIGHT, CAUTION = 2.0, 2.0, 1.0
 #: Width and number of the bins in which sums of word weights are turned into probabilities.
 BIN, BINS = 0.5, 400
-REMEMBERED = 200_000
+#: Tokens a task remembers at a time, and their length; others are worked out again.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 100
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
 _APART = re.compile(r"(?<![^\s])[^\W_](?:[ .\-_*~]{1,2}[^\W_]){2,}(?![^\s.,;:!?])")
+#: What every match of _APART holds: a letter between separators and one more standing alone.
+_MAYBE_APART = re.compile(r"[ .\-_*~][^\W_][ .\-_*~]{1,2}[^\W_](?![^\s.,;:!?\-_*~])")
 _RIM = ".,;:?\"'()[]{}<>!-_~"
 
 
@@ -74,11 +77,12 @@ class ToxicityModel:
     lexicon: dict[str, float]  # feature -> weight
     chances: list[float]  # share of toxic texts by bin of the sum of weights, never falling
     memory: dict[str, str] = field(default_factory=dict)  # spellings of disguised tokens
-    tokens: dict[str, tuple] = field(default_factory=dict)  # (word, weight) pairs of tokens
+    tokens: dict[str, tuple] = field(default_factory=dict)  # (word, weight) pairs of tokens that have any
+    plain: set[str] = field(default_factory=set)  # tokens without any
     heads: frozenset | None = None
 
     def __getstate__(self):
-        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "tokens": {}, "heads": None}
+        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "tokens": {}, "plain": set(), "heads": None}
 
     def weight(self, word: str) -> float:
         """The largest weight of the word's features; 0 if none is in the lexicon."""
@@ -88,16 +92,21 @@ class ToxicityModel:
         """Weights of the text's restored words that have any, times their number."""
         out: dict[str, float] = {}
         low = (text or "").lower()
-        known, heads, stretched = self.tokens, self._heads(), _STRETCHED.search(low)
+        known, plain = self.tokens, self.plain
         for token, n in Counter(low.split()).items():
-            core = token.strip(_RIM)
-            if core.isalpha() and core[:3] not in heads and not (stretched and _STRETCHED.search(core)) and token[0] == core[0]:
-                continue  # a plain word that no feature begins
+            if token in plain:
+                continue
             hits = known.get(token)
             if hits is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                hits = known[token] = tuple((w, x) for w in token_words(token, self) if (x := self.weight(w)))
+                hits = self._hits(token)
+                if len(token) <= REMEMBERED_CHARS:
+                    if len(known) + len(plain) >= REMEMBERED:
+                        known.clear()
+                        plain.clear()
+                    if hits:
+                        known[token] = hits
+                    else:
+                        plain.add(token)
             for w, x in hits:
                 out[w] = out.get(w, 0.0) + x * n
         for w in spaced_words(low, self):
@@ -105,6 +114,26 @@ class ToxicityModel:
                 out[w] = x
         return out
 
+    def _hits(self, token: str) -> tuple:
+        core = token.strip(_RIM)
+        if core.isalpha() and core[:3] not in self._heads() and not _STRETCHED.search(core) and token[0] == core[0]:
+            return ()  # a plain word that no feature begins
+        if not token.isalpha() and not any(w[:3] in self._heads() for w in _WORD.findall(token)) and len(core) <= 100 and not self._reaches(token):
+            return ()  # nothing that the token may disguise begins like a feature
+        return tuple((w, x) for w in token_words(token, self) if (x := self.weight(w)))
+
+    def _reaches(self, token: str) -> bool:
+        """Whether some path through a lattice of the token begins like a feature."""
+        for part in {token.rstrip(_RIM), token.strip(_RIM), *_WORD.findall(token)}:
+            begun = {""}
+            for options in lattice(part):
+                begun = {b if len(b) == 3 else b + letter for b in begun for letter, _ in options}
+                if all(len(b) == 3 for b in begun):
+                    break
+            if not begun.isdisjoint(self._heads()):
+                return True
+        return False
+
     def _heads(self) -> frozenset[str]:
         """First three letters of the lexicon's features."""
         if self.heads is None:
@@ -196,7 +225,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
     )
     marked = materialize(map_texts(marked.select("text", "toxic"), _sketch, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
     blank = ToxicityModel(log_p, {}, [0.0] * BINS)
-    bad = _feature_counts(marked.where(F.col("toxic") == 1), blank, None)
+    bad = materialize(_feature_counts(marked.where(F.col("toxic") == 1), blank, None))
     whole = bad.where(F.col("feature") == "").first()
     if whole is None:
         return blank
@@ -241,18 +270,39 @@ def _feature_counts(texts: DataFrame, model: ToxicityModel, wanted) -> DataFrame
     def count(batches):
         import pyarrow as pa
 
-        in_texts, in_words = Counter(), Counter()
+        in_texts, in_words, totals, known, held = Counter(), Counter(), Counter(), {}, 0
+
+        def settle():
+            for token, n in totals.items():
+                words, own = known[token]
+                in_words[""] += n * len(words)
+                for f in own:
+                    in_words[f] += n
+            totals.clear()
+            known.clear()
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                own = Counter()
-                words = restored_words(text, model)
-                for word, n in words.items():
-                    for f in features(word):
-                        if wanted is None or f in wanted:
-                            own[f] += n
-                own[""] = sum(words.values())
-                in_texts.update(own.keys())
-                in_words.update(own)
+                low = (text or "").lower()
+                counts = Counter(low.split())
+                seen = {""}
+                for token, n in counts.items():
+                    if token not in known:
+                        words, held = token_words(token, model), held + len(token)
+                        known[token] = words, tuple(f for w in words for f in features(w) if wanted is None or f in wanted)
+                    totals[token] += n
+                    seen.update(known[token][1])
+                apart = spaced_words(low, model)
+                if apart:
+                    for word in apart.difference(*(known[token][0] for token in counts)):
+                        own = [f for f in features(word) if wanted is None or f in wanted]
+                        seen.update(own)
+                        in_words.update(["", *own])
+                in_texts.update(seen)
+                if len(known) >= REMEMBERED or held >= REMEMBERED * REMEMBERED_CHARS:
+                    settle()
+                    held = 0
+        settle()
         names = list(in_texts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([in_texts[f] for f in names], pa.int64()), pa.array([in_words[f] for f in names], pa.int64())],
@@ -349,6 +399,8 @@ def token_words(token: str, model: ToxicityModel) -> list[str]:
 
 def spaced_words(low: str, model: ToxicityModel) -> set[str]:
     """Words written with their letters apart."""
+    if not _MAYBE_APART.search(low):
+        return set()
     return {w for spaced in _APART.findall(low) for w in spellings(re.sub(r"[ .\-_*~]", "", spaced), model) if w}
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -52,8 +52,8 @@ SMOOTH = 5.0
 
 #: A feature is a word or its first few letters.
 PREFIXES = range(3, 8)
-#: Candidate features: at most this many, those in most toxic training texts and in at least MIN_TEXTS.
-CANDIDATES, MIN_TEXTS = 50_000, 3
+#: Candidate features are all that stand in at least MIN_TEXTS toxic training texts.
+MIN_TEXTS = 3
 #: A feature's log-likelihood ratio must exceed 2 ln V + MIN_RATIO, V being the number of candidates, so that few get in by
 #: chance whatever the size of the vocabulary; and its weight, the log of its share among words of toxic texts over that among
 #: others less CAUTION standard errors, must reach MIN_WEIGHT.
@@ -62,6 +62,9 @@ MIN_RATIO, MIN_WEIGHT, CAUTION = 2.0, 2.0, 1.0
 BIN, BINS = 0.5, 400
 #: Tokens a task remembers at a time, and their length; others are worked out again.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 100
+#: Features a task counts before it passes its sums on.
+HELD = 1_000_000
+COUNTS = ("bad_texts", "bad_words", "good_texts", "good_words")
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
@@ -213,8 +216,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
     """Learn from ``docs(doc_id, text)`` joined with ``labels(doc_id, toxic)`` and the character statistics of ``corpus``.
 
     Copies and most near copies (texts with the same smallest hash of five words in a row) count once per label, else
-    every word of a much copied toxic text would look toxic.  All labelled texts are read; what comes to the driver is bounded by CANDIDATES
-    and BINS.  Candidate features are counted in toxic texts, then in the others; sums of word weights over
+    every word of a much copied toxic text would look toxic.  All labelled texts are read and every feature of them is counted; the tests
+    run in Spark, and only features that pass them and BINS rows come to the driver.  Sums of word weights over
     the training texts then give the share of toxic ones by bin, made monotone.  Without toxic rows every score is the
     share of toxic rows (0 without any).
     """
@@ -225,22 +228,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
     )
     marked = materialize(map_texts(marked.select("text", "toxic"), _sketch, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
     blank = ToxicityModel(log_p, {}, [0.0] * BINS)
-    bad = materialize(_feature_counts(marked.where(F.col("toxic") == 1), blank, None))
-    whole = bad.where(F.col("feature") == "").first()
-    if whole is None:
+    lexicon = _lexicon(materialize(_feature_counts(marked, blank)))
+    if lexicon is None:
         return blank
-    best = bad.where((F.col("texts") >= MIN_TEXTS) & (F.col("feature") != "")).orderBy(F.desc("texts"), "feature").limit(CANDIDATES)
-    candidates = {r["feature"]: (r["texts"], r["words"]) for r in best.collect()}
-    good = {r["feature"]: (r["texts"], r["words"]) for r in _feature_counts(marked.where(F.col("toxic") != 1), blank, candidates).collect()}
-    n_bad, bad_words, (n_good, good_words) = whole["texts"], whole["words"], good.pop("", (0, 0))
-    bar = 2 * math.log(max(1, len(candidates))) + MIN_RATIO
-    lexicon = {}
-    for f, (texts, words) in candidates.items():
-        other_texts, other_words = good.get(f, (0, 0))
-        lift = math.log((words + 0.5) / (bad_words + 1)) - math.log((other_words + 0.5) / (good_words + 1))
-        sure = lift - CAUTION * math.sqrt(1 / (texts + 0.5) + 1 / (other_texts + 0.5))
-        if sure >= MIN_WEIGHT and _ratio(texts, n_bad, other_texts, n_good) >= bar:
-            lexicon[f] = sure
     model = ToxicityModel(log_p, lexicon, [0.0] * BINS)
     model.chances = _chances(marked, model)
     return model
@@ -254,63 +244,85 @@ def _sketch(cols):
     return {"text": cols["text"], "toxic": cols["toxic"], "sketch": out}
 
 
-def _ratio(a: int, n: int, b: int, m: int) -> float:
+def _lexicon(counts: DataFrame) -> dict[str, float] | None:
+    """Weights of the features that pass both tests, from all counted features; None without toxic texts."""
+    whole = counts.where(F.col("feature") == "").first()
+    if whole is None or not whole["bad_texts"]:
+        return None
+    candidates = counts.where((F.col("bad_texts") >= MIN_TEXTS) & (F.col("feature") != ""))
+    bar = 2 * math.log(max(1, candidates.count())) + MIN_RATIO
+    a, b = F.col("bad_texts"), F.col("good_texts")
+    bad_share = F.log((F.col("bad_words") + 0.5) / F.lit(whole["bad_words"] + 1.0))
+    good_share = F.log((F.col("good_words") + 0.5) / F.lit(whole["good_words"] + 1.0))
+    sure = bad_share - good_share - F.lit(CAUTION) * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    weighed = candidates.select("feature", sure.alias("sure"), _ratio(a, whole["bad_texts"], b, whole["good_texts"]).alias("ratio"))
+    return {r["feature"]: r["sure"] for r in weighed.where((F.col("sure") >= MIN_WEIGHT) & (F.col("ratio") >= bar)).collect()}
+
+
+def _ratio(a: Column, n: int, b: Column, m: int) -> Column:
     """Log-likelihood ratio of a feature in ``a`` of ``n`` against ``b`` of ``m`` texts; 0 if no more frequent in the first."""
-    if not n or not m or a * m <= b * n:
-        return 0.0 if m else 2 * a * math.log(2)
-    part = lambda k, t, p: k * math.log(k / t / p) if k else 0.0
-    p = (a + b) / (n + m)
-    return 2 * (part(a, n, p) + part(b, m, p) + part(n - a, n, 1 - p) + part(m - b, m, 1 - p))
+    if not m:
+        return 2 * a * math.log(2)
+    part = lambda k, t, p: F.when(k > 0, k * F.log(k / F.lit(float(t)) / p)).otherwise(0.0)
+    p = (a + b) / F.lit(float(n + m))
+    ratio = 2 * (part(a, n, p) + part(b, m, p) + part(n - a, n, 1 - p) + part(m - b, m, 1 - p))
+    return F.when(a / F.lit(float(n)) > b / F.lit(float(m)), ratio).otherwise(0.0)
 
 
-def _feature_counts(texts: DataFrame, model: ToxicityModel, wanted) -> DataFrame:
-    """``feature, texts, words``: texts that hold a feature and its occurrences, summed per task first; ``""`` stands for all."""
-    wanted = None if wanted is None else frozenset(wanted)
+def _feature_counts(texts: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``feature, bad_texts, bad_words, good_texts, good_words``: toxic and other texts that hold a feature and its
+    occurrences, summed per task first; ``""`` stands for all.  A task holds at most HELD features and passes its sums on."""
 
     def count(batches):
         import pyarrow as pa
 
-        in_texts, in_words, totals, known, held = Counter(), Counter(), Counter(), {}, 0
+        in_texts, in_words, totals, known, held = (Counter(), Counter()), (Counter(), Counter()), (Counter(), Counter()), {}, 0
 
         def settle():
-            for token, n in totals.items():
-                words, own = known[token]
-                in_words[""] += n * len(words)
-                for f in own:
-                    in_words[f] += n
-            totals.clear()
+            for label in (0, 1):
+                for token, n in totals[label].items():
+                    words, own = known[token]
+                    in_words[label][""] += n * len(words)
+                    for f in own:
+                        in_words[label][f] += n
+                totals[label].clear()
             known.clear()
 
+        def sums():
+            names = list(in_texts[0].keys() | in_texts[1].keys())
+            columns = [pa.array([c[f] for f in names], pa.int64()) for c in (in_texts[1], in_words[1], in_texts[0], in_words[0])]
+            for c in (*in_texts, *in_words):
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["feature", *COUNTS])
+
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                low = (text or "").lower()
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                low, label = (text or "").lower(), int(toxic == 1)
                 counts = Counter(low.split())
                 seen = {""}
                 for token, n in counts.items():
                     if token not in known:
                         words, held = token_words(token, model), held + len(token)
-                        known[token] = words, tuple(f for w in words for f in features(w) if wanted is None or f in wanted)
-                    totals[token] += n
+                        known[token] = words, tuple(f for w in words for f in features(w))
+                    totals[label][token] += n
                     seen.update(known[token][1])
                 apart = spaced_words(low, model)
                 if apart:
                     for word in apart.difference(*(known[token][0] for token in counts)):
-                        own = [f for f in features(word) if wanted is None or f in wanted]
+                        own = features(word)
                         seen.update(own)
-                        in_words.update(["", *own])
-                in_texts.update(seen)
-                if len(known) >= REMEMBERED or held >= REMEMBERED * REMEMBERED_CHARS:
+                        in_words[label].update(["", *own])
+                in_texts[label].update(seen)
+                if len(known) >= REMEMBERED or held >= REMEMBERED * REMEMBERED_CHARS or len(in_texts[0]) + len(in_texts[1]) >= HELD:
                     settle()
                     held = 0
+                if len(in_texts[0]) + len(in_texts[1]) >= HELD:
+                    yield sums()
         settle()
-        names = list(in_texts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([in_texts[f] for f in names], pa.int64()), pa.array([in_words[f] for f in names], pa.int64())],
-            names=["feature", "texts", "words"],
-        )
-
-    rows = texts.select("text").mapInArrow(count, "feature string, texts long, words long")
-    return rows.groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("words").alias("words"))
+        yield sums()
+
+    rows = texts.select("text", "toxic").mapInArrow(count, "feature string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def _chances(marked: DataFrame, model: ToxicityModel) -> list[float]:

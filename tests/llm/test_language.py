@@ -188,3 +188,12 @@ def test_held_out_toxicity(spark):
     false = sum(p for t, p in held if not t) / sum(not t for t, _ in held)
     assert hit > 0.9 and false < 0.02
     assert all(r.predicted == int(r.score >= 0.3) for r in rows)
+
+
+def test_every_feature_is_a_candidate(spark):
+    """60,000 general words stand in more toxic texts than the toxic word, which is learned all the same."""
+    from tabsift.llm.toxicity import _lexicon
+
+    general = spark.range(60_000).selectExpr("concat('w', id) feature", "9L bad_texts", "9L bad_words", "900L good_texts", "900L good_words")
+    own = spark.createDataFrame([("", 100, 90_000, 10_000, 9_000_000), ("vermin", 8, 8, 0, 0)], general.schema)
+    assert set(_lexicon(general.unionByName(own))) == {"vermin"}

@@ -27,9 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go out of its texts; ``n_chars`` follows.  No document goes: one left without lines has
-    an empty text."""
+    an empty text.  Copies of a text count once, so they reach the near-dedup with their text."""
     rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    done = line_dedup(docs, "doc_id", F.col("source"), F.col("text"), carry=rest)
+    done = line_dedup(docs, "doc_id", F.col("source"), F.col("text"), carry=rest, copies_once=True)
     cells = {c: F.col(f"row.{c}") for c in rest} | {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return done.select(*(cells[c].alias(c) for c in docs.columns))
 

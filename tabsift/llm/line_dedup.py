@@ -63,11 +63,13 @@ def line_dedup(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
     carry: list[str] | None = None,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``page, host, text, n_lines, n_dropped`` (and ``row``, a struct of the columns in ``carry``); one row per input row,
     ``text`` without its boilerplate lines.
 
-    A page is an input row, so a row that repeats counts as another page of its site.  Pages with a null or empty host form a
+    A page is an input row, so a row that repeats counts as another page of its site; with ``copies_once``, all rows of a
+    site with the same text count as one page (in a line's pages and the site's alike).  Pages with a null or empty host form a
     site of their own.  Null text counts as empty and comes back null; a page left without lines has
     empty text.  An empty table gives no rows; other columns are ignored.
 
@@ -77,9 +79,11 @@ def line_dedup(
     base = pages.select(F.col(id_col).alias("page"), F.coalesce(host, F.lit("")).alias("host"), text.alias("text"), *([F.struct(*carry).alias("row")] if carry else []))
     content = F.concat_ws("|", F.coalesce(F.col("page").cast("string"), F.lit("")), "host", "text")
     base = base.withColumn("row_key", F.unhex(F.md5(content.cast("binary"))))
-    keyed = base.select("row_key", "page", "host", F.transform(split_lines(F.col("text")), line_key).alias("keys"))
+    digest = [F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("digest")] if copies_once else []
+    keyed = base.select("row_key", "page", "host", *digest, F.transform(split_lines(F.col("text")), line_key).alias("keys"))
     keyed = materialize(keyed)
-    bad = materialize(boilerplate_lines(keyed, max_ratio, min_pages))
+    counted = materialize(keyed.select("host", "digest", "keys").dropDuplicates(["host", "digest"])) if copies_once else keyed
+    bad = materialize(boilerplate_lines(counted, max_ratio, min_pages))
     n_lines = keyed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
     pairs = bad.select(F.xxhash64("host", "line_key").alias("pair"), F.col("host").alias("bad_host"), F.col("line_key").alias("bad_key"), "n_with")
     lines = keyed.select("row_key", "host", F.posexplode("keys").alias("pos", "line_key")).where(F.col("line_key").isNotNull())

@@ -66,3 +66,25 @@ def test_oracles_match(spark):
         key = list(got.columns)[0]
         got, want = (d[sorted(d.columns)].sort_values(key).reset_index(drop=True) for d in (got, want))
         pd.testing.assert_frame_equal(got, want, check_dtype=False, obj=name)
+
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, texts):
+    return spark.createDataFrame([(i, t, "en", source, len(t)) for i, t, source in texts], DOC)
+
+
+def prose(seed, n=60):
+    return " ".join(np.random.default_rng(seed).choice([f"{a}{b}{c}" for a in "bdfglm" for b in "aeiou" for c in "nrst"], n))
+
+
+def test_copies_keep_their_text(spark, sf):
+    """Two groups of copies in one source, and a line that stands on other pages: one whole text of each group survives."""
+    own = [(i, prose(i) + "\nsubscribe to our letter", "s") for i in range(20)]
+    copies = [(100 + i, prose(900), "s") for i in range(12)] + [(200 + i, prose(901) + "\n" + prose(902), "s") for i in range(6)]
+    lines = P.materialize(P.drop_site_lines(spark, documents(spark, own + copies), sf))
+    texts = {r.doc_id: r.text for r in lines.collect()}
+    assert all(texts[i] == t for i, t, _ in copies) and all(texts[i] == prose(i) for i, _, _ in own)
+    near = {r.doc_id: r.text for r in P.near_dedup(spark, lines, sf).collect()}
+    assert near[100] == copies[0][1] and near[200] == copies[12][1] and len(near) == 22

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsift.llm.bpe import encode_texts
+from tabsift.llm.common import join_hot
 from tabsift.llm.langid import fit_language_model, keep_identified
 from tabsift.llm.line_dedup import line_dedup
 from tabsift.llm.queries import mixture, table, training
-from tabsift.llm.simhash import simhash_dedup
+from tabsift.llm.simhash import row_key, simhash_survivors
 from tabsift.session import materialize
 
 SHINGLE, MAX_BITS = 3, 2
@@ -35,10 +36,11 @@ def drop_site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays, once (repeated rows, too)."""
-    groups = simhash_dedup(docs, shingle=SHINGLE, max_bits=MAX_BITS)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("stay"))).drop("stay").dropDuplicates(["doc_id"])
+    """Of each group of linked fingerprints one document stays: the one with the smallest id (a null id only if all are
+    null), of equal ids the one with the smallest digest of its text; repeated rows once."""
+    key = row_key(F.col("doc_id"), F.col("text")).alias("row_key")
+    stay, total = simhash_survivors(docs, shingle=SHINGLE, max_bits=MAX_BITS)
+    return join_hot(docs.select(F.struct("*").alias("row"), key), stay, "row_key", "rows", total).dropDuplicates(["row_key"]).select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

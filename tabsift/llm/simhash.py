@@ -17,7 +17,7 @@ import itertools
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -154,10 +154,42 @@ def simhash_dedup(
     prints = materialize(fingerprints(docs, id_col, text_col, shingle))
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("rows")))
     total = nodes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    linked = connected_components(near_links(nodes, max_bits)).select(F.col("node").alias("fp"), "component")
-    with_root = nodes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    with_root = _with_root(nodes, max_bits)
     lows = with_root.groupBy("component").agg(F.min("low").alias("component_id"))
     named = with_root.join(lows, "component").select("fp", "component_id", "rows")
     return join_hot(prints, named, "fp", "rows", total).select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def _with_root(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes(fp)`` with ``component``, one fingerprint of the linked group."""
+    linked = connected_components(near_links(nodes, max_bits)).select(F.col("node").alias("fp"), "component")
+    return nodes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Id and digest of the text in one key; a null id or text is a value of its own."""
+    return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(F.md5(text.cast("binary")), F.lit("null")))
+
+
+def simhash_survivors(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+) -> tuple[DataFrame, int]:
+    """``row_key, rows``, one row per group of linked fingerprints, and the number of rows of ``docs``.
+
+    The survivor has the smallest id of its group (nulls last), then the smallest digest; ``rows`` is the number
+    of input rows with its key.  Groups are told apart by fingerprint, so null and repeated ids do not join them.
+    """
+    view = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    view = view.withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
+
+    def fn(cols):
+        return {"doc_id": cols["doc_id"], "row_key": cols["row_key"], "fp": [simhash(t, shingle) for t in cols["text"]]}
+
+    prints = map_texts(view, fn, "doc_id long, row_key string, fp long")
+    keys = materialize(prints.groupBy("fp", "doc_id", "row_key").agg(F.count("*").alias("rows")))
+    total = keys.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "rows"))
+    nodes = materialize(keys.groupBy("fp").agg(low.alias("low")))
+    return _with_root(nodes, max_bits).groupBy("component").agg(F.min("low").alias("low")).select("low.row_key", "low.rows"), total

@@ -88,3 +88,10 @@ def test_copies_keep_their_text(spark, sf):
     assert all(texts[i] == t for i, t, _ in copies) and all(texts[i] == prose(i) for i, _, _ in own)
     near = {r.doc_id: r.text for r in P.near_dedup(spark, lines, sf).collect()}
     assert near[100] == copies[0][1] and near[200] == copies[12][1] and len(near) == 22
+
+
+def test_null_and_repeated_ids_keep_their_documents(spark, sf):
+    """Each group of one text keeps one row whatever its ids are."""
+    rows = [(None, prose(k), "s") for k in (1, 2, 3, 3)] + [(7, prose(4), "s"), (7, prose(5), "s"), (7, prose(5), "s"), (None, prose(6), "s"), (9, prose(6), "s"), (8, prose(6), "s")]
+    got = [(r.doc_id, r.text) for r in P.near_dedup(spark, documents(spark, rows), sf).collect()]
+    assert sorted(got, key=repr) == sorted([(None, prose(k)) for k in (1, 2, 3)] + [(7, prose(4)), (7, prose(5)), (8, prose(6))], key=repr)

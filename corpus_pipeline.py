@@ -44,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the target shares of source, language and form."""
+    """A sample with the target shares of source, language and form; documents of scarce cells come more than once."""
     return mixture(docs, with_row=True).where("kept").select("row.*")
 
 

@@ -85,6 +85,7 @@ def mix_sources(
     sweeps: int = SWEEPS,
     targets: dict[str, DataFrame] | None = None,
     with_row: bool = False,
+    copies: bool = False,
 ) -> DataFrame:
     """``doc_id``, the margins, ``n_tokens, factor, probability, kept, weight`` (and ``row``, a struct of the
     input's columns, if ``with_row``); one row per input row.
@@ -95,6 +96,10 @@ def mix_sources(
     A null margin value is the category ``(none)``; a null text has no tokens; documents of a cell without
     tokens have factor 1 (they carry no mass, so they can't disturb a margin).  A missing target table is made from
     ``temperatures``.  An empty table gives no rows; clashing columns of the input stay inside ``row``.
+
+    With ``copies`` the kept rows themselves meet the margins in expectation, without weights: factors are scaled by one
+    number so that as many documents are expected as ``min(1, keep * factor)`` keeps, and a document comes as
+    often as its scaled factor says, the fraction decided by a hash of its id and text; one not kept comes once.
     """
     names = list(margins)
     columns = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in margins.items()]
@@ -108,18 +113,27 @@ def mix_sources(
     total = cells.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     rounded = F.when(F.col("tokens") > 0, F.round("factor", 6)).otherwise(1.0)
     sized = fitted.select(_cell(names).alias("cell"), rounded.alias("factor"), "rows")
-    chance = F.least(F.lit(1.0), F.lit(float(keep)) * F.col("factor"))
-    return (
-        join_hot(view.withColumn("cell", _cell(names)), sized, "cell", "rows", total)
-        .withColumn("probability", chance)
-        .select(
-            "doc_id",
-            *names,
-            "n_tokens",
-            "factor",
-            "probability",
-            (uniform(F.col("doc_id"), seed) < F.col("probability")).alias("kept"),
-            F.when(F.col("probability") > 0, F.round(F.lit(float(keep)) * F.col("factor") / F.col("probability"), 9)).otherwise(0.0).alias("weight"),
-            *(["row"] if with_row else []),
-        )
+    share = F.lit(float(keep)) * F.col("factor")
+    if copies:
+        expected = sized.agg(F.sum(F.least(F.lit(1.0), share) * F.col("rows")) / F.sum(share * F.col("rows"))).first()[0]
+        share = share * F.lit(float(expected or 0.0))
+        view = view.withColumn("text_digest", F.md5((F.col(f"row.{text_col}") if with_row else F.lit("")).cast("binary")))
+    done = join_hot(view.withColumn("cell", _cell(names)), sized, "cell", "rows", total)
+    if copies:
+        draw = uniform(F.concat_ws(":", F.col("doc_id").cast("string"), "text_digest"), seed)
+        number = (F.floor(share) + (draw < share - F.floor(share)).cast("long")).cast("int")
+        done = done.withColumn("number", number).withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("number")))))
+        kept, weight = F.col("number") > 0, F.lit(1.0)
+    else:
+        kept = uniform(F.col("doc_id"), seed) < F.col("probability")
+        weight = F.round(F.lit(float(keep)) * F.col("factor") / F.col("probability"), 9)
+    return done.withColumn("probability", F.least(F.lit(1.0), share)).select(
+        "doc_id",
+        *names,
+        "n_tokens",
+        "factor",
+        "probability",
+        kept.alias("kept"),
+        F.when(F.col("probability") > 0, weight).otherwise(0.0).alias("weight"),
+        *(["row"] if with_row else []),
     )

@@ -74,6 +74,7 @@ def mixture(docs: DataFrame, with_row: bool = False) -> DataFrame:
         {"source": F.col("source"), "lang": F.col("lang"), "topic": text_kind(F.col("text"))},
         {"source": 0.5, "lang": 0.7, "topic": 0.8},
         with_row=with_row,
+        copies=with_row,
     )
 
 
@@ -152,7 +153,9 @@ with p as (
       '<[^>]*>', '', 'g') as text
   from pages),
 l as (
-  select page_id, host, pos, line, regexp_replace(line, '^[ 	]+|[ 	]+$', '', 'g') as k
+  select page_id, host, pos, line, regexp_replace(line, '^[ 	
+]+|[ 	
+]+$', '', 'g') as k
   from (select page_id, host, generate_subscripts(lines, 1) as pos, unnest(lines) as line
         from (select page_id, host, string_split(coalesce(text, ''), chr(10)) as lines from p))),
 n as (select host, count(*) as n_pages from p group by host),

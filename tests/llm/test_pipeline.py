@@ -95,3 +95,13 @@ def test_null_and_repeated_ids_keep_their_documents(spark, sf):
     rows = [(None, prose(k), "s") for k in (1, 2, 3, 3)] + [(7, prose(4), "s"), (7, prose(5), "s"), (7, prose(5), "s"), (None, prose(6), "s"), (9, prose(6), "s"), (8, prose(6), "s")]
     got = [(r.doc_id, r.text) for r in P.near_dedup(spark, documents(spark, rows), sf).collect()]
     assert sorted(got, key=repr) == sorted([(None, prose(k)) for k in (1, 2, 3)] + [(7, prose(4)), (7, prose(5)), (8, prose(6))], key=repr)
+
+
+def test_kept_tokens_have_the_target_shares(spark, sf):
+    """20 sources of which one holds a third: what the stage keeps has the shares of the square roots."""
+    hot = "case when id % 3 = 0 then 's0' else concat('s', 1 + id % 19) end"
+    docs = spark.range(6000).selectExpr("id doc_id", "concat(repeat('word ', 20), id) text", "'en' lang", f"{hot} source", "20L n_chars")
+    counts = {r[0]: r[1] for r in docs.groupBy("source").count().collect()}
+    kept = {r[0]: r[1] for r in P.mix(spark, docs, sf).groupBy("source").count().collect()}
+    norm = sum(n**0.5 for n in counts.values())
+    assert len(kept) == 20 and all(abs(kept[k] / sum(kept.values()) - n**0.5 / norm) < 0.012 for k, n in counts.items())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import unicode_tables as U
-from .common import map_texts
+from .common import join_hot, map_texts
 
 # What a look-alike character may stand for.
 LOOKALIKES = {
@@ -58,6 +58,9 @@ MIN_TEXTS = 3
 #: chance whatever the size of the vocabulary; and its weight, the log of its share among words of toxic texts over that among
 #: others less CAUTION standard errors, must reach MIN_WEIGHT.
 MIN_RATIO, MIN_WEIGHT, CAUTION = 2.0, 2.0, 1.0
+#: Smallest hashes of a text that stand for its runs of five words, the Jaccard similarity of near copies, bands in which they are sought.
+SKETCH, SIMILAR, BANDS = 256, 0.8, 8
+_REHASH = np.random.default_rng(42).integers(0, 2**64, (2 * BANDS, 2), np.uint64, endpoint=False)
 #: Width and number of the bins in which sums of word weights are turned into probabilities.
 BIN, BINS = 0.5, 400
 #: Tokens a task remembers at a time, and their length; others are worked out again.
@@ -215,8 +218,7 @@ def _portions(texts: list[str], limit: int = 2_000_000):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col: str = "text") -> ToxicityModel:
     """Learn from ``docs(doc_id, text)`` joined with ``labels(doc_id, toxic)`` and the character statistics of ``corpus``.
 
-    Copies and most near copies (texts with the same smallest hash of five words in a row) count once per label, else
-    every word of a much copied toxic text would look toxic.  All labelled texts are read and every feature of them is counted; the tests
+    Copies and near copies (:func:`_distinct`) count once per label, else every word of a much copied toxic text would look toxic.  All labelled texts are read and every feature of them is counted; the tests
     run in Spark, and only features that pass them and BINS rows come to the driver.  Sums of word weights over
     the training texts then give the share of toxic ones by bin, made monotone.  Without toxic rows every score is the
     share of toxic rows (0 without any).
@@ -226,7 +228,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
         docs.select("doc_id", F.col(text_col).alias("text"))
         .join(labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), "doc_id")
     )
-    marked = materialize(map_texts(marked.select("text", "toxic"), _sketch, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
+    marked = materialize(_distinct(materialize(marked.select("text", "toxic", F.monotonically_increasing_id().alias("row")))))
     blank = ToxicityModel(log_p, {}, [0.0] * BINS)
     lexicon = _lexicon(materialize(_feature_counts(marked, blank)))
     if lexicon is None:
@@ -236,12 +238,54 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
     return model
 
 
+def _distinct(marked: DataFrame) -> DataFrame:
+    """``text, toxic`` of ``marked(text, toxic, row)`` without copies and near copies within a label.
+
+    Equal texts are one.  A text goes only if it shares a band (two minima of re-hashed runs of five words) with the first text of
+    that band, in the order of their hashes, and a Jaccard similarity of at least SIMILAR with it: exact for texts of up to
+    SKETCH different runs together, else estimated from the SKETCH smallest hashes (standard error 0.025).  So the first of each
+    chain of copies stays, whatever the order of rows, and a shared passage alone drops nothing.  Only hashes are
+    compared and moved; the texts are joined once with the rows that stay.
+    """
+    schema = "row long, toxic int, digest string, mark long, bands array<long>, low binary"
+    once = materialize(map_texts(marked, _sketch, schema).dropDuplicates(["digest", "toxic"]))
+    banded = once.select("mark", F.explode("bands").alias("band"))
+    firsts = materialize(banded.groupBy("band").agg(F.min("mark").alias("first"), F.count("*").alias("rows")).where("rows > 1"))
+    pairs = join_hot(banded, firsts, "band", "rows", BANDS * once.count()).where("mark <> first").select("mark", "first").distinct()
+    pairs = materialize(pairs)
+    lows = pairs.join(once.select("mark", "low"), "mark")
+    others = pairs.groupBy("first").agg(F.count("*").alias("rows")).join(once.select(F.col("mark").alias("first"), F.col("low").alias("first_low")), "first")
+    met = join_hot(lows, others, "first", "rows", pairs.count()).select("mark", "low", "first_low")
+
+    def similar(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            near = [m for m, x, y in zip(*(c.to_pylist() for c in batch.columns)) if _jaccard(x, y) >= SIMILAR]
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64())], names=["mark"])
+
+    gone = met.mapInArrow(similar, "mark long").distinct()
+    return marked.join(once.join(gone, "mark", "left_anti").select("row"), "row").select("text", "toxic")
+
+
 def _sketch(cols):
-    out = []
-    for text in cols["text"]:
-        words = (text or "").lower().split()
-        out.append(min((xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), default=0) - 2**63)
-    return {"text": cols["text"], "toxic": cols["toxic"], "sketch": out}
+    out = {"row": cols["row"], "toxic": cols["toxic"], "digest": [], "mark": [], "bands": [], "low": []}
+    for text, toxic in zip(cols["text"], cols["toxic"]):
+        raw, words = (text or "").encode(), (text or "").lower().split()
+        runs = {xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))}
+        h = np.sort(np.fromiter(runs, np.uint64, len(runs)))
+        least = [int(((h ^ x) * (y | np.uint64(1))).min()) for x, y in _REHASH]
+        out["digest"].append(xxhash.xxh3_128_hexdigest(raw))
+        out["mark"].append(xxhash.xxh3_64_intdigest(raw, toxic & 0xFF) - 2**63)
+        out["bands"].append([xxhash.xxh3_64_intdigest(f"{toxic} {k} {least[2 * k]} {least[2 * k + 1]}") - 2**63 for k in range(BANDS)])
+        out["low"].append(h[:SKETCH].tobytes())
+    return out
+
+
+def _jaccard(x: bytes, y: bytes) -> float:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    least = np.union1d(a, b)[:SKETCH]
+    return float((np.isin(least, a) & np.isin(least, b)).mean())
 
 
 def _lexicon(counts: DataFrame) -> dict[str, float] | None:

@@ -197,3 +197,20 @@ def test_every_feature_is_a_candidate(spark):
     general = spark.range(60_000).selectExpr("concat('w', id) feature", "9L bad_texts", "9L bad_words", "900L good_texts", "900L good_words")
     own = spark.createDataFrame([("", 100, 90_000, 10_000, 9_000_000), ("vermin", 8, 8, 0, 0)], general.schema)
     assert set(_lexicon(general.unionByName(own))) == {"vermin"}
+
+
+def test_only_verified_copies_collapse(spark):
+    """Texts that share a passage all count; copies and near copies count once."""
+    from tabsift.llm.toxicity import _distinct
+
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}{c}" for a in "bdfglm" for b in "aeiou" for c in "nrst"]
+    passage = " ".join(rng.choice(words, 60))
+    shared = [" ".join([*rng.choice(words, 40), passage, *rng.choice(words, 40)]) for _ in range(40)]
+    long = list(rng.choice(words, 300))
+    near = [" ".join([*long[:k], "changed", *long[k + 1 :]]) for k in range(20, 280, 20)]
+    rows = [(t, 0) for t in shared + shared[:9]] + [(t, 1) for t in near] + [(shared[0], 1), (None, 0), ("", 0)]
+    left = _distinct(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "text string, toxic int, row long")).collect()
+    got = [(r.text or "", r.toxic) for r in left]
+    assert sorted(t for t, x in got if not x) == sorted([*shared, ""])
+    assert (shared[0], 1) in got and 1 <= sum(t in near for t, _ in got) <= 3

@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
 import numpy as np
 import xxhash
@@ -67,13 +68,19 @@ BIN, BINS = 0.5, 400
 REMEMBERED, REMEMBERED_CHARS = 200_000, 100
 #: Features a task counts before it passes its sums on.
 HELD = 1_000_000
+#: Characters between two looks for what all paths of a lattice share.
+SETTLE = 64
 COUNTS = ("bad_texts", "bad_words", "good_texts", "good_words")
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
-_APART = re.compile(r"(?<![^\s])[^\W_](?:[ .\-_*~]{1,2}[^\W_]){2,}(?![^\s.,;:!?])")
-#: What every match of _APART holds: a letter between separators and one more standing alone.
-_MAYBE_APART = re.compile(r"[ .\-_*~][^\W_][ .\-_*~]{1,2}[^\W_](?![^\s.,;:!?\-_*~])")
+#: A character that may stand apart (a ``*`` only between white space), what may separate two, and what may stand around a run.
+_ITEM, _GAP = r"(?:[^\W_]|[@$!|+€£(]|(?<=\s)\*(?=\s))", r"(?:[ .\-_~]|(?<!\s)\*|\*(?!\s))"
+_BEFORE, _AFTER = r"(?<![^\s\"'(\[{<“‘«])", r"(?![^\s.,;:!?\"')\]}>”’»])"
+_APART = re.compile(f"{_BEFORE}{_ITEM}(?:{_GAP}{{1,2}}{_ITEM}){{2,}}{_AFTER}")
+#: What every match of _APART holds: a character between separators and one more standing alone.
+_MAYBE_APART = re.compile(f"{_GAP}{_ITEM}{_GAP}{{1,2}}{_ITEM}{_AFTER}")
+_GAPS = re.compile(f"{_GAP}+")
 _RIM = ".,;:?\"'()[]{}<>!-_~"
 
 
@@ -124,15 +131,17 @@ class ToxicityModel:
         core = token.strip(_RIM)
         if core.isalpha() and core[:3] not in self._heads() and not _STRETCHED.search(core) and token[0] == core[0]:
             return ()  # a plain word that no feature begins
-        if not token.isalpha() and not any(w[:3] in self._heads() for w in _WORD.findall(token)) and len(core) <= 100 and not self._reaches(token):
+        if not token.isalpha() and not any(w[:3] in self._heads() for w in _WORD.findall(token)) and not self._reaches(token):
             return ()  # nothing that the token may disguise begins like a feature
         return tuple((w, x) for w in token_words(token, self) if (x := self.weight(w)))
 
     def _reaches(self, token: str) -> bool:
         """Whether some path through a lattice of the token begins like a feature."""
-        for part in {token.rstrip(_RIM), token.strip(_RIM), *_WORD.findall(token)}:
+        core = token.strip(_RIM)
+        starts = [(core, i) for i in range(1, len(core)) if _is_gap(core[i - 1]) and not _is_gap(core[i])]
+        for part, start in [*((p, 0) for p in {token.rstrip(_RIM), core, *_WORD.findall(token)}), *starts]:
             begun = {""}
-            for options in lattice(part):
+            for options in _steps(part, start):
                 begun = {b if len(b) == 3 else b + letter for b in begun for letter, _ in options}
                 if all(len(b) == 3 for b in begun):
                     break
@@ -387,30 +396,46 @@ def _chances(marked: DataFrame, model: ToxicityModel) -> list[float]:
     return [bad / n if n else 0.0 for bad, n, size in blocks for _ in range(size)]
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For each observed character the intended letters (``""``: none) and their log-costs.
+def _is_gap(c: str) -> bool:
+    return not c.isalpha() and c not in LOOKALIKES
 
-    A look-alike may stand for its letters; a letter that repeats the one before may be a stretch.
-    """
-    steps = []
-    for i, c in enumerate(token):
+
+def _steps(token: str, start: int = 0, gaps: bool = False):
+    last = ""
+    for i in range(start, len(token)):
+        c = token[i]
         if c.isalpha():
             options = [(c, 0.0)]
         elif c in LOOKALIKES:
             options = [(x, SWAP) for x in LOOKALIKES[c]]
         else:
-            options = [("", 0.0)]
-        if i and token[i - 1] == c and options[0][0]:
+            options = [("", 0.0), (" ", 0.0)] if gaps else [("", 0.0)]
+        if last == c and options[0][0]:
             options = [*options, ("", SQUEEZE)]
-        steps.append(options)
-    return steps
+        if not (gaps and _is_gap(c)):
+            last = c
+        yield options
+
 
+def lattice(token: str, gaps: bool = False) -> list[list[tuple[str, float]]]:
+    """For each observed character the intended letters (``""``: none) and their log-costs.
 
-def decode(token: str, log_p: np.ndarray) -> str:
-    """The likeliest restored spelling of a token: Viterbi over (last two letters) under the character model."""
+    A look-alike may stand for its letters; a letter that repeats the one before may be a stretch.  With ``gaps``, any other
+    character may also end a word (``" "``), and a letter repeated across it may be a stretch.
+    """
+    return list(_steps(token, 0, gaps))
+
+
+def decode(token: str, log_p: np.ndarray, gaps: bool = False) -> str:
+    """The likeliest restored spelling of a token: Viterbi over (last two letters) under the character model.
+
+    With ``gaps`` the best path also splits the token into words.  What all paths share is set aside every SETTLE
+    characters, so a token of any length is decoded in time that follows its length.
+    """
     s2 = SYMBOLS
     states: dict[tuple[str, str], tuple[float, str]] = {("", ""): (0.0, "")}
-    for options in lattice(token):
+    settled: list[str] = []
+    for i, options in enumerate(_steps(token, 0, gaps)):
         nxt: dict[tuple[str, str], tuple[float, str]] = {}
         for (a, b), (score, text) in states.items():
             base = ((_symbol(a) if a else 0) * s2 + (_symbol(b) if b else 0)) * s2
@@ -422,21 +447,30 @@ def decode(token: str, log_p: np.ndarray) -> str:
                 if key not in nxt or value > nxt[key][0]:
                     nxt[key] = (value, word)
         states = nxt
+        if i % SETTLE == SETTLE - 1 and (shared := commonprefix([text for _, text in states.values()])):
+            settled.append(shared)
+            states = {key: (score, text[len(shared) :]) for key, (score, text) in states.items()}
     ends = []
     for (a, b), (score, text) in states.items():
         base = ((_symbol(a) if a else 0) * s2 + (_symbol(b) if b else 0)) * s2
         ends.append((score + float(log_p[base]), text))
-    return max(ends)[1]
+    return "".join(settled) + max(ends)[1]
 
 
 def spellings(token: str, model: ToxicityModel) -> list[str]:
-    """Words a disguised token may hold: its Viterbi decoding, also without look-alikes at its end (``stop!!``)."""
-    if token not in model.memory:
+    """Words a disguised token may hold: its Viterbi decoding, also without look-alikes at its end (``stop!!``), and the words
+    into which its gaps split it."""
+    if (known := model.memory.get(token)) is not None:
+        return known.split("\n")
+    bare = token.strip(_RIM)
+    words = {decode(t, model.log_p) for t in {_GAPS.sub("", token) if " " in token else token.rstrip(_RIM), _GAPS.sub("", bare) if " " in bare else bare} if len(t) > 2}
+    if any(map(_is_gap, bare)):
+        words.update(decode(bare, model.log_p, gaps=True).split())
+    if len(token) <= REMEMBERED_CHARS:
         if len(model.memory) >= REMEMBERED:
             model.memory.clear()
-        bare = token.strip(_RIM)
-        model.memory[token] = "\n".join({decode(t, model.log_p) for t in (token.rstrip(_RIM), bare) if 2 < len(t) <= 100})
-    return model.memory[token].split("\n")
+        model.memory[token] = "\n".join(words)
+    return list(words)
 
 
 def token_words(token: str, model: ToxicityModel) -> list[str]:
@@ -454,10 +488,12 @@ def token_words(token: str, model: ToxicityModel) -> list[str]:
 
 
 def spaced_words(low: str, model: ToxicityModel) -> set[str]:
-    """Words written with their letters apart."""
+    """Words written with their letters apart; a run's first or last character may be a word beside it (``a m o r o n``)."""
     if not _MAYBE_APART.search(low):
         return set()
-    return {w for spaced in _APART.findall(low) for w in spellings(re.sub(r"[ .\-_*~]", "", spaced), model) if w}
+    runs = {_GAPS.sub(" ", spaced) for spaced in _APART.findall(low)}
+    ends = {part for run in runs if run.count(" ") > 2 for part in (run.split(" ", 1)[1], run.rsplit(" ", 1)[0])}
+    return {w for run in runs | ends for w in spellings(run, model) if w}
 
 
 def restored_words(text: str | None, model: ToxicityModel) -> Counter:

@@ -214,3 +214,33 @@ def test_only_verified_copies_collapse(spark):
     got = [(r.text or "", r.toxic) for r in left]
     assert sorted(t for t, x in got if not x) == sorted([*shared, ""])
     assert (shared[0], 1) in got and 1 <= sum(t in near for t, _ in got) <= 3
+
+
+@pytest.mark.parametrize(
+    "text,words",
+    [
+        ("you are a m o r o n", ["moron"]), ("m o r o n s c u m", ["moron", "scum"]), ('"m o r o n" he said', ["moron"]),
+        ("m 0 r o n", ["moron"]), ("$ c u m", ["scum"]), ("t r @ $ h", ["trash"]),
+        (" ".join("the river was calm and green while birds sang over quiet fields near town moron and the river was calm and green".replace(" ", "")), ["moron"]),
+        ("the-river-was-calm-and-green-while-birds-sang-over-quiet-fields-near-town-while-birds-sang-over-quiet-fields-m0r0n-town", ["moron"]),
+        ("m" + "o" * 150 + "r0n", ["moron"]),
+    ],
+)
+def test_disguises_of_any_length_are_split_and_undone(toxic_model, text, words):
+    assert set(words) <= set(restored_words(text, toxic_model))
+    assert all(any(w.startswith(x[:3]) for w in toxic_model.weigh(text)) for x in words)
+
+
+def test_a_settled_path_is_the_best_path():
+    """A decoding that is settled on the way equals one that is settled at the end only."""
+    from tabsift.llm import toxicity as T
+
+    rng = np.random.default_rng(5)
+    log_p = rng.normal(size=SYMBOLS**3).astype(np.float32)
+    token = "".join(rng.choice(list("abc01$|-"), 500))
+    short = [decode(token, log_p), decode(token, log_p, gaps=True)]
+    whole, T.SETTLE = T.SETTLE, 10_000
+    try:
+        assert short == [decode(token, log_p), decode(token, log_p, gaps=True)]
+    finally:
+        T.SETTLE = whole

@@ -11,8 +11,11 @@ from .bpe import encode_texts
 from .common import lang_mod
 from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
+from .interpolation import DELETED, score_texts
 from .langid import fit_language_model, identify
+from .lexical import lexical_search
 from .line_dedup import html_lines, host_of, line_dedup
+from .merkle import fold, leaf_text, merkle_manifest
 from .mixing import SWEEPS, mix_sources, text_kind
 from .packing import pack_tokens
 from .repeats import remove_repeats
@@ -98,6 +101,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("page").alias("page_id"), "host", "n_lines", "n_dropped", "text")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held_out = F.coalesce(number % 7 == HELD_OUT, F.lit(False))
+    scored = score_texts(table(spark, sf_dir, "documents"), number % 7 != HELD_OUT, F.floor(number / 7) % DELETED == 0)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fields = table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = [F.col(c) if c != "n_chars" else F.col(c).cast("decimal(20,0)") + 1 for c in fields]
+    forged = F.when(tampered & F.col("n_chars").isNotNull(), F.sha2(leaf_text(more), 256))
+    manifest = merkle_manifest(docs, fields, carry={"forged": forged}, carry_schema="forged string")
+    proved = manifest.withColumn("folded_root", fold(F.coalesce("forged", "leaf"), F.col("sides"), F.col("siblings")))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_language_id": op2_language_id,
@@ -109,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_lm_scoring": op12_lm_scoring,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 def _mixing_sql() -> str:
@@ -171,6 +200,63 @@ select p.page_id, nullif(p.host, '') as host, case when p.text is null then 0 el
 from p join r using (page_id)
 """
 
+_SEARCH_SQL = r"""
+with it as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+d as (select row_number() over () as row, doc_id, text from documents),
+w as (
+  select row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+len as (select row, count(*) as n from w group by row),
+tot as (select count(*) as docs, sum(n)::bigint as terms from len),
+tf as (select row, doc_id, term, count(*) as tf from w where term in (select term from it) group by all),
+weight as (select term, floor(1000 * ln((2 * (select docs from tot) + 2)::double / (2 * count(*) + 1)))::bigint as w from tf group by term),
+m as (select row, 100 - 50 + (50 * n * (select docs from tot)) // (select terms from tot) as m from len),
+s as (
+  select item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from tf join weight using (term) join m using (row) join it using (term) group by all),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 50
+"""
+
+_MERKLE_SQL = r"""
+with recursive v as (
+  select *, sha256(head || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') || tail) as leaf,
+    case when n_chars is not null and xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint), lambda crc, c:
+        list_reduce(range(8), lambda r, i: case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end, xor(crc, c)), 4294967295), 4294967295) % 7 = 0
+      then sha256(head || length((n_chars + 1)::varchar) || ':' || (n_chars + 1) || tail) end as forged
+  from (select doc_id, lang, n_chars,
+      coalesce(length(doc_id::varchar) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+        || coalesce(octet_length(encode(lang)) || ':' || lang, '-') as head,
+      coalesce(octet_length(encode(text)) || ':' || text, '-') as tail from documents)),
+l as (
+  select row_number() over () as row, doc_id, coalesce('+' || lang, '') as g, leaf, forged,
+    row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from v),
+t as (
+  select g, 0 as lvl, pos, leaf as h, n from l
+  union all select g, lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (max(n) + 1) // 2 from t where n > 1 group by g, lvl, pos // 2),
+s as (select g, h, row_number() over (order by g) - 1 as pos, count(*) over () as n from t where n = 1),
+u as (
+  select 0 as lvl, pos, h, n from s
+  union all select lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (max(n) + 1) // 2 from u where n > 1 group by lvl, pos // 2),
+path as (
+  select row, a.lvl as step, case when b.h is null then 'N' when (l.pos >> a.lvl) % 2 = 1 then 'L' else 'R' end as side, coalesce(b.h, '') as h
+  from l join (select distinct g, lvl from t where n > 1) a using (g)
+  left join t b on b.g = l.g and b.lvl = a.lvl and b.pos = xor(l.pos >> a.lvl, 1)
+  union all
+  select row, 100 + a.lvl, case when b.h is null then 'N' when (s.pos >> a.lvl) % 2 = 1 then 'L' else 'R' end, coalesce(b.h, '')
+  from l join s using (g) cross join (select distinct lvl from u where n > 1) a
+  left join u b on b.lvl = a.lvl and b.pos = xor(s.pos >> a.lvl, 1)),
+w as (select row, string_agg(h, '' order by step) as siblings, list(side || h order by step) as steps from path group by row),
+f as (
+  select doc_id, leaf, s.h as subroot, (select h from u where n = 1) as root, sha256(coalesce(siblings, '')) as proof_sha256,
+    list_reduce(coalesce(steps, []), lambda node, x: case x[1] when 'L' then sha256(x[2:] || node) when 'R' then sha256(node || x[2:])
+      else sha256(node) end, coalesce(forged, leaf)) as folded_root
+  from l join s using (g) left join w using (row))
+select *, folded_root = root as verified from f
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept,
@@ -192,4 +278,6 @@ from embeddings join low on node = vec_id left join degree on a = vec_id
 """,
     "op7_mixing": _mixing_sql(),
     "op10_line_dedup": _LINES_SQL,
+    "op11_lexical_search": _SEARCH_SQL,
+    "op13_merkle_manifest": _MERKLE_SQL,
 }

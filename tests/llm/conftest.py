@@ -60,3 +60,10 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def empty(odd):
     return odd.where("false")
+
+
+@pytest.fixture(scope="session")
+def odder(spark, odd):
+    """``odd`` twice over, with rows of null ids, and a row that is null throughout."""
+    nulls = [(None, t, "en", None, None, *("clash" for _ in odd.columns[5:])) for t in ("Same text twice", "another text", "another text", None)]
+    return odd.unionByName(odd.where("doc_id < 12")).unionByName(spark.createDataFrame([*nulls, tuple([None] * len(odd.columns))], odd.schema))

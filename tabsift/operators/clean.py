@@ -6,18 +6,17 @@ Literals are typed to the target column (an int column filled with 0 stays int,
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Iterable, Sequence
-from decimal import Decimal
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.functions.exprs import is_missing, is_non_finite, qcol, typed_lit
-from tabsift.operators.profile import constant_column_names, long_form, sentinel_match
+from tabsift.operators.profile import constant_column_names, sentinel_match, uncastable
+from tabsift.operators.statistics import PICK_LIMIT, StatisticsPlan, literal_rows
+from tabsift.session import materialize
 from tabsift.spec import DEFAULT_SENTINELS
 
 
@@ -114,6 +113,17 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return _replace(df, exprs)
 
 
+def cast_and_count(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """C5 and P4 in one pass: the cast table, written once, and ``column, target_type, n_uncastable`` counted while it is written."""
+    targets = [f for f in schema.fields if f.name in df.columns and isinstance(f.dataType, T.NumericType)]
+    seen = Observation()
+    counts = [F.count_if(uncastable(qcol(f.name), f.dataType)).alias(f"bad_{i}") for i, f in enumerate(targets)]
+    written = materialize(cast_to_schema(df.observe(seen, *counts) if counts else df, schema))
+    found = seen.get if counts else {}
+    rows = [(f.name, f.dataType.simpleString(), found[f"bad_{i}"]) for i, f in enumerate(targets)]
+    return written, literal_rows(df.sparkSession, rows, "column string, target_type string, n_uncastable bigint")
+
+
 def cast_columns(df: DataFrame, cols: Iterable[str], dtype: T.DataType | str = "double") -> DataFrame:
     """``try_cast`` the named columns to one type (bad text -> null)."""
     return _replace(df, {c: qcol(c).try_cast(dtype) for c in _check_present(df, cols)})
@@ -143,207 +153,12 @@ def fill_category(df: DataFrame, cols: Iterable[str], value: str = "unknown") ->
     return _replace(df, {c: F.coalesce(qcol(c), F.lit(value)) for c in strings})
 
 
-# Exact medians by randomised selection: a sample proposes a bracket, an exact count verifies it.
-PICK_LIMIT = 20_000       # at most this many present values per column reach the final exact pick
-SAMPLE_PER_COLUMN = 50_000  # values per column sketched when proposing a bracket
-SKETCH_ACCURACY = 10_000  # percentile_approx accuracy on the sample (rank error <= s / accuracy)
-Z = 5.0                   # sampling margin in standard deviations (doubled after a failed bracket)
-
-
-def _in_range(c: Column, dtype: T.DataType, lo, hi) -> Column:
-    cond = ~is_missing(c, dtype)
-    if lo is not None:
-        cond = cond & (c >= typed_lit(lo, dtype))
-    if hi is not None:
-        cond = cond & (c <= typed_lit(hi, dtype))
-    return cond
-
-
-def _exact_medians(df: DataFrame, cols: list[str], pick_limit: int = PICK_LIMIT) -> dict[str, object]:
-    """Exact lower medians (``percentile_disc(0.5)``, rank ceil(n/2) of the present values).
-
-    Randomised selection, all columns at once, every pass one aggregate over the data:
-    1. exact count pass (codegen'd ``count_if``, wide tables in several passes of one job): present values below the bracket and inside it;
-       this fixes the target's rank inside the bracket and verifies the bracket;
-    2. if a column's bracket still holds more than ``pick_limit`` values, a Bernoulli sample of about
-       ``SAMPLE_PER_COLUMN`` of them is sketched with ``percentile_approx`` and the sample quantiles
-       at the target's relative rank +- (Z standard errors + sketch error) become the new bracket --
-       about 90x narrower per round; back to 1.  A bracket that misses the target (probability
-       ~1e-6) is undone and retried with a doubled margin, so the result is always exact; only the
-       number of passes is random.  A bracket that a round leaves as large as it was (two common values
-       on its ends, as a flag column has) is probed at the sample's median value: the target is that
-       value or lies strictly to one side of it, so every round answers or shrinks and none is wasted;
-    3. an integer bracket no wider than ``pick_limit`` goes to the last pass at once, which counts the distinct values inside each column's bracket (at most ``pick_limit``
-       rows per column) and takes the running count to the target rank.  A bracket that shrinks to a
-       single value answers directly (a value held by a third of the rows never reaches the pick).
-    No shuffle of the whole data; nothing unbounded in one task or on the driver.
-    """
-    types = {c: df.schema[c].dataType for c in cols}
-    state = {c: {"lo": None, "hi": None, "z": Z} for c in cols}
-
-    def count_pass(names, ends=False):
-        """Exact counts below and inside each bracket; with ``ends`` also the extremes of integer columns."""
-        parts = []
-        for i, c in enumerate(names):
-            st, dtype, v = state[c], types[c], qcol(c)
-            below = (~is_missing(v, dtype) & (v < typed_lit(st["lo"], dtype))) if st["lo"] is not None else F.lit(False)
-            aggs = [F.count_if(below).alias(f"b{i}"), F.count_if(_in_range(v, dtype, st["lo"], st["hi"])).alias(f"n{i}")]
-            lo = hi = F.lit(None).cast("bigint")
-            if ends and isinstance(dtype, T.IntegralType):
-                aggs += [F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-                lo, hi = F.col(f"lo{i}").cast("bigint"), F.col(f"hi{i}").cast("bigint")
-            cells = (F.lit(i).alias("i"), F.col(f"b{i}").alias("below"), F.col(f"n{i}").alias("inside"), lo.alias("lo"), hi.alias("hi"))
-            parts.append((aggs, F.struct(*cells)))
-        rows = long_form(df, parts, "i int, below bigint, inside bigint, lo bigint, hi bigint").collect()
-        if ends:
-            for r in rows:
-                if r["lo"] is not None:
-                    state[names[r["i"]]].update(lo=r["lo"], hi=r["hi"])
-        return {names[r["i"]]: (r["below"], r["inside"]) for r in sorted(rows)}
-
-    def settle(c, below, inside) -> bool:
-        """Record a verified bracket; True if the column still needs narrowing."""
-        st = state[c]
-        st["local"], st["inside"] = st["rank"] - below, inside
-        if st["lo"] is not None and st["lo"] == st["hi"]:
-            result[c] = st["lo"]
-            return False
-        narrow = isinstance(types[c], T.IntegralType) and st["lo"] is not None and st["hi"] is not None and st["hi"] - st["lo"] < pick_limit
-        return inside > pick_limit and not narrow
-
-    result: dict[str, object] = {}
-    active = []
-    for c, (_, n) in count_pass(cols, ends=True).items():
-        if n == 0:
-            result[c] = None
-            continue
-        st = state[c]
-        st["rank"] = max(1, math.ceil(n / 2))
-        if settle(c, 0, n):
-            active.append(c)
-    round_no = 0
-    while active:
-        round_no += 1
-        picks, aggs, plans, fracs = [], [], {}, []
-        for i, c in enumerate(active):
-            st, dtype, v = state[c], types[c], qcol(c)
-            frac = min(1.0, SAMPLE_PER_COLUMN / st["inside"])
-            sampled = frac * st["inside"]
-            q = st["local"] / st["inside"]
-            margin = st["z"] * math.sqrt(q * (1 - q) / sampled) * (1.0 if frac < 1 else 0.0)
-            margin += 2.0 / SKETCH_ACCURACY + 1.0 / sampled
-            want = [max(0.0, q - margin), min(1.0, q + margin), q]
-            keep = _in_range(v, dtype, st["lo"], st["hi"]) & (F.col("__tabsift_u") < F.lit(frac))
-            picks.append(F.when(keep, v).cast("double").alias(f"s{i}"))
-            aggs.append(F.percentile_approx(f"s{i}", want, SKETCH_ACCURACY).alias(f"q{i}"))
-            plans[c] = want
-            fracs.append(frac)
-        # one shared draw per row, projected first (aggregate inputs must be deterministic); rows above
-        # the largest fraction are dropped and the sampled values are picked in a codegen'd projection,
-        # so the (interpreted) sketch aggregate only sees the sample
-        sample = (df.withColumn("__tabsift_u", F.rand(17 + round_no))
-                  .where(F.col("__tabsift_u") < F.lit(max(fracs))).select(*picks))
-        row = sample.agg(*aggs).first()
-        for i, c in enumerate(active):
-            st, want, qs = state[c], plans[c], row[f"q{i}"]
-            st["verified"] = (st["lo"], st["hi"])
-            if qs is None:
-                continue
-            lo, hi, middle = qs
-            if st.get("stalled"):  # probe one value
-                st["lo"] = st["hi"] = _as_value(middle, types[c])
-                continue
-            if isinstance(types[c], T.IntegralType):
-                lo, hi = math.floor(lo), math.ceil(hi)
-            if want[0] > 0.0:
-                st["lo"] = lo
-            if want[1] < 1.0:
-                st["hi"] = hi
-        still, again = [], []
-        for c, (below, inside) in count_pass(active).items():
-            st = state[c]
-            r = st["rank"] - below
-            if st.pop("stalled", False) and not 1 <= r <= inside:
-                probe, (lo, hi) = st["lo"], st["verified"]
-                st["lo"], st["hi"] = (lo, _next(probe, types[c], -1)) if r < 1 else (_next(probe, types[c], 1), hi)
-                again.append(c)
-                continue
-            if not 1 <= r <= inside:  # the sample missed: undo, widen, retry
-                st["lo"], st["hi"] = st["verified"]
-                st["z"] *= 2
-                still.append(c)
-                continue
-            before = st["inside"]
-            if settle(c, below, inside):
-                st["stalled"] = inside > 0.9 * before
-                still.append(c)
-        if again:
-            still += [c for c, (below, inside) in count_pass(again).items() if settle(c, below, inside)]
-        active = still
-    finals = [c for c in cols if c not in result]
-    by_type: dict[str, list[str]] = {}
-    for c in finals:  # one pick pass for every type that converts to double exactly
-        key = "double" if isinstance(types[c], _DOUBLE_EXACT) else types[c].simpleString()
-        by_type.setdefault(key, []).append(c)
-    for key, group in by_type.items():
-        result.update(_pick(df, group, types, state, T.DoubleType() if key == "double" else types[group[0]]))
-    return {c: (int(v) if isinstance(types[c], T.IntegralType) and v is not None else v) for c, v in result.items()}
-
-
-def _as_value(x: float, dtype: T.DataType):
-    """A value of the type at or next to ``x``."""
-    if isinstance(dtype, T.IntegralType):
-        return round(x)
-    return Decimal(repr(x)).quantize(Decimal(1).scaleb(-dtype.scale)) if isinstance(dtype, T.DecimalType) else x
-
-
-def _next(value, dtype: T.DataType, way: int):
-    """The neighbouring value of the type, up (1) or down (-1)."""
-    if isinstance(dtype, T.IntegralType):
-        return value + way
-    if isinstance(dtype, T.DecimalType):
-        return value + way * Decimal(1).scaleb(-dtype.scale)
-    if isinstance(dtype, T.FloatType):
-        return float(np.nextafter(np.float32(value), np.float32(way * math.inf)))
-    return math.nextafter(value, way * math.inf)
-
-
-_DOUBLE_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
-
-
-def _pick(df: DataFrame, cols: list[str], types: dict, state: dict, common: T.DataType) -> dict[str, object]:
-    """Final exact pick for columns sharing ``common`` type: distinct candidates with counts, running
-    count per column (each column's candidates are bounded by the pick limit)."""
-    cells = F.array(*[
-        F.struct(
-            F.lit(i).alias("cid"),
-            F.when(_in_range(qcol(c), types[c], state[c]["lo"], state[c]["hi"]), qcol(c).cast(common)).alias("v"),
-        )
-        for i, c in enumerate(cols)
-    ])
-    # out-of-bracket cells are dropped inside the array, so only candidates become rows
-    present = F.inline(F.filter(cells, lambda cell: cell["v"].isNotNull()))
-    counted = df.select(present).groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
-    rank = None
-    for i, c in enumerate(cols):
-        r = F.lit(state[c].get("local") or state[c]["rank"])
-        rank = F.when(F.col("cid") == i, r) if rank is None else rank.when(F.col("cid") == i, r)
-    w = Window.partitionBy("cid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        counted.withColumn("cum", F.sum("n").over(w))
-        .where((F.col("cum") >= rank) & (F.col("cum") - F.col("n") < rank))
-        .select("cid", "v")
-        .collect()
-    )
-    return {cols[r["cid"]]: r["v"] for r in found}
-
-
 def medians(
     df: DataFrame, cols: Sequence[str], exact: bool = True, relative_error: float = 0.001, pick_limit: int = PICK_LIMIT
 ) -> dict[str, object]:
     """Median of each column over its non-missing values (null/NaN ignored); None if none.
 
-    ``exact=True``: lower median by bracket narrowing (see ``_exact_medians``).
+    ``exact=True``: the lower median (``percentile_disc(0.5)``), see :mod:`tabsift.operators.statistics`.
     ``exact=False``: ``percentile_approx`` for all columns in one pass (rank error <= relative_error).
     """
     cols = list(cols)
@@ -358,9 +173,8 @@ def medians(
             aggs.append(F.percentile_approx(v, 0.5, accuracy).alias(f"m_{i}"))
         row = df.agg(*aggs).first()
         return {c: row[f"m_{i}"] for i, c in enumerate(cols)}
-    out: dict[str, object] = {c: None for c in cols}
-    out.update(_exact_medians(df, cols, pick_limit))
-    return out
+    stats = StatisticsPlan(df, pick_limit=pick_limit).want(cols, "median").collect()
+    return {c: stats[c]["median"] for c in cols}
 
 
 def impute(
@@ -443,6 +257,7 @@ def drop_non_finite_rows(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
 
 
 __all__ = [
+    "cast_and_count",
     "cast_columns",
     "cast_to_schema",
     "check_schema",

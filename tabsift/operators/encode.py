@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 
 
@@ -94,3 +95,35 @@ def vector_size(df: DataFrame, vector_col: str) -> int:
         return sum(len(g) for g in attrs.values())
     first = df.select(vector_col).head()
     return len(first[0]) if first is not None else 0
+
+
+def encoder_stages(
+    numerics: Sequence[str], categoricals: Sequence[str] = (), output_col: str = "features", invalid: str = "error", order: str = "frequencyDesc"
+) -> list:
+    """F1-F3 as stages of a pipeline: index -> one-hot -> assemble.  A category that the training rows lack (null too) has zeros in all
+    slots of its column; ``invalid`` says what a null or NaN number does to its row (F4)."""
+    cats, stages = list(categoricals), []
+    indices, vectors = [index_suffix(c) for c in cats], [f"{c}_vec" for c in cats]
+    if cats:
+        stages.append(StringIndexer(inputCols=cats, outputCols=indices, handleInvalid="keep", stringOrderType=order))
+        stages.append(OneHotEncoder(inputCols=indices, outputCols=vectors, dropLast=True, handleInvalid="error"))
+    return [*stages, assembler([*numerics, *vectors], output_col, invalid)]
+
+
+def slot_sources(model: PipelineModel) -> list[tuple[str, str]]:
+    """``(slot, column)`` for every slot of the vector that a fitted (or reloaded) pipeline assembles: a numeric column is its own slot,
+    a category is ``column=value``."""
+    of_index: dict[str, tuple[str, list[str]]] = {}
+    of_vector: dict[str, list[tuple[str, str]]] = {}
+    for stage in model.stages:
+        if isinstance(stage, StringIndexerModel):
+            for source, out, labels in zip(stage.getInputCols(), stage.getOutputCols(), stage.labelsArray):
+                of_index[out] = (source, list(labels))
+        elif isinstance(stage, OneHotEncoderModel):
+            for index, out, size in zip(stage.getInputCols(), stage.getOutputCols(), stage.categorySizes):
+                source, labels = of_index[index]
+                names = [f"{source}={v}" for v in labels] + [f"{source}=(other)"] * (size - len(labels))
+                of_vector[out] = [(n, source) for n in (names[:-1] if stage.getDropLast() else names)]
+        elif isinstance(stage, VectorAssembler):
+            return [slot for c in stage.getInputCols() for slot in of_vector.get(c, [(c, c)])]
+    raise ValueError("the pipeline assembles no vector")

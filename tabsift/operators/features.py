@@ -10,12 +10,14 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabsift.operators.encode import assemble, slot_names, vector_size
+from tabsift.operators.encode import assemble, slot_names, slot_sources, vector_size
+from tabsift.operators.statistics import literal_rows
 
 
 def standardize(
@@ -96,6 +98,49 @@ def backproject_importance(
     return _ranked(summed, "importance")
 
 
+def column_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """F9/F11 rolled up to input columns: ``column, importance, share, n_slots, rank`` of a fitted pipeline.
+
+    A categorical column has the sum over its slots; through a PCA a slot has its back-projected importance.  ``share`` is the part of
+    the total."""
+    slots = slot_sources(model)
+    values = model.stages[-1].featureImportances.toArray()
+    for stage in model.stages:
+        if isinstance(stage, PCAModel):
+            values = abs(stage.pc.toArray()) @ values
+    rows = [(column, float(v)) for (_, column), v in zip(slots, values)]
+    by_column = literal_rows(spark, rows, "column string, value double").groupBy("column")
+    summed = by_column.agg(F.sum("value").alias("importance"), F.count("*").alias("n_slots"))
+    whole = Window.partitionBy()
+    ranked = summed.withColumn("share", F.col("importance") / F.sum("importance").over(whole))
+    rank = F.row_number().over(Window.orderBy(F.col("importance").desc(), F.col("column")))
+    return ranked.select("column", "importance", "share", "n_slots", rank.alias("rank"))
+
+
+def select_top_columns(
+    train: DataFrame,
+    numerics: Sequence[str],
+    categoricals: Sequence[str],
+    label: str,
+    n: int = 50,
+    weight: str | None = None,
+    invalid: str = "error",
+    num_trees: int = 50,
+    max_depth: int = 5,
+    seed: int = 42,
+) -> tuple[list[str], list[str], DataFrame]:
+    """F10 over columns that include categories: the numeric and the categorical columns among the ``n`` most important, in rank order, and
+    the table of importances."""
+    from tabsift.operators.model import fit_config
+    from tabsift.spec import ForestConfig
+
+    config = ForestConfig("selection", num_trees=num_trees, max_depth=max_depth, seed=seed)
+    table = column_importance(train.sparkSession, fit_config(train, config, numerics, label, weight, categoricals, invalid))
+    top = [r["column"] for r in table.where(F.col("rank") <= n).orderBy("rank").collect()]
+    cats = set(categoricals)
+    return [c for c in top if c not in cats], [c for c in top if c in cats], table
+
+
 def select_top_features(
     train: DataFrame,
     cols: Sequence[str],

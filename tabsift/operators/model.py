@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsift.functions.exprs import qcol
-from tabsift.operators.encode import assembler
+from tabsift.operators.encode import encoder_stages, slot_sources
 from tabsift.operators.features import pca_stage
 from tabsift.spec import ForestConfig
 
@@ -49,18 +49,18 @@ def train_forest(
     return forest_estimator(label, features_col, weight, num_trees, max_depth, seed, max_bins).fit(train)
 
 
-def config_stages(config: ForestConfig, feature_cols: Sequence[str], label: str, weight: str | None = None) -> list:
-    """Fresh stages for one configuration: assemble -> [scale] -> [PCA] -> forest.
+def forest_stages(
+    config: ForestConfig, n_features: int, label: str, weight: str | None = None, features_col: str = "features"
+) -> list:
+    """Fresh stages for one configuration over an assembled vector: [scale] -> [PCA] -> forest.
 
     Built per call, never appended to a caller's list (D19) nor shared between configs (D20)."""
-    feature_cols = list(feature_cols)
-    stages: list = [assembler(feature_cols, "features", "error")]
-    current = "features"
+    stages, current = [], features_col
     if config.scale:
         stages.append(StandardScaler(inputCol=current, outputCol="scaled_features", withMean=True, withStd=True))
         current = "scaled_features"
     if config.pca_k:
-        stages.append(pca_stage(config.pca_k, len(feature_cols), current, "pca_features"))
+        stages.append(pca_stage(config.pca_k, n_features, current, "pca_features"))
         current = "pca_features"
     stages.append(
         forest_estimator(label, current, weight, config.num_trees, config.max_depth, config.seed, config.max_bins)
@@ -68,11 +68,33 @@ def config_stages(config: ForestConfig, feature_cols: Sequence[str], label: str,
     return stages
 
 
+def config_stages(config: ForestConfig, feature_cols: Sequence[str], label: str, weight: str | None = None) -> list:
+    """Fresh stages for one configuration over numeric columns: assemble -> [scale] -> [PCA] -> forest."""
+    return [*encoder_stages(feature_cols), *forest_stages(config, len(feature_cols), label, weight)]
+
+
+def fit_encoder(train: DataFrame, numerics: Sequence[str], categoricals: Sequence[str] = (), invalid: str = "error") -> PipelineModel:
+    """F1-F3 fitted on the training rows: index -> one-hot -> assemble."""
+    return Pipeline(stages=encoder_stages(numerics, categoricals, "features", invalid)).fit(train)
+
+
 def fit_config(
-    train: DataFrame, config: ForestConfig, feature_cols: Sequence[str], label: str, weight: str | None = None
+    train: DataFrame,
+    config: ForestConfig,
+    feature_cols: Sequence[str],
+    label: str,
+    weight: str | None = None,
+    categoricals: Sequence[str] = (),
+    invalid: str = "error",
+    encoder: PipelineModel | None = None,
 ) -> PipelineModel:
-    """M3: fit the whole configuration as one ``Pipeline`` on the training rows."""
-    return Pipeline(stages=config_stages(config, feature_cols, label, weight)).fit(train)
+    """M3: fit the whole configuration on the training rows; the model holds every stage from raw columns to the forest.
+
+    ``encoder`` (from :func:`fit_encoder`) saves fitting it again for each configuration."""
+    encoder = encoder or fit_encoder(train, feature_cols, categoricals, invalid)
+    stages = forest_stages(config, len(slot_sources(encoder)), label, weight)
+    fitted = Pipeline(stages=stages).fit(encoder.transform(train))
+    return PipelineModel(stages=[*encoder.stages, *fitted.stages])
 
 
 def forest_of(model: PipelineModel) -> RandomForestClassificationModel:

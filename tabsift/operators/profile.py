@@ -2,7 +2,8 @@
 
 The reference ran one Spark action per column per check.  Here each profile is one ``agg`` whose
 partial aggregation runs map-side; the one-row result is turned into one row per column with
-``inline`` so the output is a long, joinable table.
+``inline`` so the output is a long, joinable table.  A table too wide for one compiled ``agg`` is profiled by the
+cells of its rows (:mod:`tabsift.operators.statistics`).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.functions.exprs import INF, is_fractional, is_non_finite, qcol
+from tabsift.operators.statistics import StatisticsPlan
 from tabsift.session import materialize
 from tabsift.spec import DEFAULT_SENTINELS
 
@@ -70,6 +72,14 @@ def profile_columns(
     (``isnan`` on other types is a type error, D7).
     """
     fields = _fields(df, columns)
+    if sum(3 if is_fractional(f.dataType) else 2 if isinstance(f.dataType, T.StringType) else 1 for f in fields) > PASS_AGGREGATES:
+        plan = StatisticsPlan(df, sentinels, ignore_case).want([f.name for f in fields], "null", "sentinel")
+        plan.want([f.name for f in fields if is_fractional(f.dataType)], "nan", "inf")
+        return plan.frame().select(
+            "column",
+            "data_type",
+            *(F.col(s).alias(f"n_{s}") if s in plan.stats() else F.lit(0).cast("bigint").alias(f"n_{s}") for s in ("null", "sentinel", "nan", "inf")),
+        )
     parts = []
     for i, f in enumerate(fields):
         aggs, c = [], qcol(f.name)
@@ -95,7 +105,8 @@ def profile_columns(
                       "n_nan bigint, n_inf bigint")
 
 
-def _uncastable(c: Column, target: T.DataType) -> Column:
+def uncastable(c: Column, target: T.DataType) -> Column:
+    """A present value that does not cast."""
     return c.isNotNull() & c.try_cast(target).isNull()
 
 
@@ -107,7 +118,7 @@ def profile_uncastable(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     present = set(df.columns)
     targets = [f for f in schema.fields if f.name in present and isinstance(f.dataType, T.NumericType)]
-    aggs = [F.count_if(_uncastable(qcol(f.name), f.dataType)).alias(f"bad_{i}") for i, f in enumerate(targets)]
+    aggs = [F.count_if(uncastable(qcol(f.name), f.dataType)).alias(f"bad_{i}") for i, f in enumerate(targets)]
     rows = [
         F.struct(
             F.lit(f.name).alias("column"),
@@ -129,7 +140,7 @@ def sample_uncastable(df: DataFrame, column: str, target: T.DataType | str, n: i
         target = T._parse_datatype_string(target)
     c = qcol(column)
     return (
-        df.where(_uncastable(c, target))
+        df.where(uncastable(c, target))
         .groupBy(c.alias("value"))
         .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
         .orderBy(F.col("n").desc(), F.col("value"))
@@ -163,6 +174,11 @@ def constant_columns(df: DataFrame, columns: Iterable[str] | None = None) -> Dat
     with a finite value (any NaN or Inf makes the stddev NaN, which is not constant).
     """
     fields = [f for f in _fields(df, columns) if isinstance(f.dataType, T.NumericType)]
+    if 4 * len(fields) > PASS_AGGREGATES:
+        plan = StatisticsPlan(df).want([f.name for f in fields], "rows", "null", "min", "max", "stddev")
+        lo, hi = F.col("min"), F.col("max")
+        same = (lo == hi) & ~lo.isin("NaN", "Infinity", "-Infinity")  # equal values have equal texts
+        return plan.frame().select("column", "stddev", (((F.col("rows") - F.col("null")) <= 1) | F.coalesce(same, F.lit(False))).alias("is_constant"))
     parts = []
     for i, f in enumerate(fields):
         c = qcol(f.name)

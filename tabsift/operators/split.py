@@ -7,7 +7,7 @@ layout, on re-execution after a lost executor, and in plain SQL.  No shuffle, no
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsift.functions.exprs import hash_bucket, qcol
@@ -41,8 +41,13 @@ def assign_split(
     return out
 
 
+def train_condition(key: str, ratio: float = 0.8, seed: int = 42) -> Column:
+    """Whether a row is in train; false for a null key."""
+    return F.coalesce(hash_bucket(qcol(key), seed, BUCKETS) < F.lit(_cut(ratio)), F.lit(False))
+
+
 def split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` as two filters of the same deterministic bucket (a null key goes to test,
     as in :func:`assign_split`, so no row is lost)."""
-    in_train = F.coalesce(hash_bucket(qcol(key), seed, BUCKETS) < F.lit(_cut(ratio)), F.lit(False))
+    in_train = train_condition(key, ratio, seed)
     return df.where(in_train), df.where(~in_train)

@@ -1,9 +1,9 @@
 """End-to-end recipes (E1-E4) composed from the operators.
 
 Order of work differs from the reference on purpose: in ``prepare`` the split comes *first* and the
-label index, class weights and feature selection are fitted on the training rows only (D15).
-``clean`` is a table-level step run before any split (as the reference's cleaning is), so its
-statistics cover the whole table; de-duplication runs before encoding (same result, narrower rows).
+label index, class weights, encoders and feature selection are fitted on the training rows only (D15).
+``clean`` learns on the whole table, as the reference's cleaning does, or on the training rows (``fit_on="train"``, which
+``run_raw`` uses); de-duplication runs before encoding (same result, narrower rows).
 """
 
 from __future__ import annotations
@@ -12,34 +12,47 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.functions.exprs import qcol
 from tabsift.operators import clean as C
-from tabsift.operators.encode import fit_indexer, with_handle_invalid
+from tabsift.operators.encode import fit_indexer, slot_sources, with_handle_invalid
 from tabsift.operators.evaluate import compare_configs
-from tabsift.operators.features import backproject_importance, explained_variance, importance_table, select_top_features
-from tabsift.operators.profile import class_distribution, constant_column_names, profile_columns, profile_uncastable, split_sizes
-from tabsift.operators.split import split
+from tabsift.operators.features import (
+    backproject_importance,
+    column_importance,
+    explained_variance,
+    importance_table,
+    select_top_columns,
+    select_top_features,
+)
+from tabsift.operators.fitted import Cleaner, CleanerModel
+from tabsift.operators.profile import class_distribution, profile_columns, profile_uncastable, sentinel_match, split_sizes
+from tabsift.operators.split import split, train_condition
+from tabsift.operators.statistics import literal_rows
 from tabsift.operators.weights import class_weights, with_class_weight
 from tabsift.session import materialize
+from tabsift.sources.delimited import read_delimited
 from tabsift.spec import ForestConfig, TableSpec, default_configs
 
 
 def normalize(df: DataFrame, spec: TableSpec, sentinel_value: str | None = None) -> DataFrame:
-    """Dotted names -> underscores, lower-case categoricals, sentinels replaced.
+    """Dotted names -> underscores, lower-case categoricals, sentinels replaced; one projection.
 
     Categorical sentinels become null (later ``unknown``), not ``"0"`` which would create a class named
     "0" (D23); numeric text sentinels become ``sentinel_value`` (null by default: they are missing).
     """
-    df = C.normalize_names(df)
-    cats = [c for c in spec.categoricals + (spec.label,) if c in df.columns]
-    df = C.lowercase(df, cats)
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    df = C.replace_sentinels(df, [c for c in strings if c in cats], spec.sentinels, None, ignore_case=True)
-    return C.replace_sentinels(df, [c for c in strings if c not in cats], spec.sentinels, sentinel_value)
+    cats, exprs = {*spec.categoricals, spec.label}, []
+    for f, name in zip(df.schema.fields, C.normalized_names(df.columns)):
+        value = qcol(f.name)
+        if isinstance(f.dataType, T.StringType):
+            value = F.lower(value) if name in cats else value
+            fill = None if name in cats else sentinel_value
+            value = F.when(sentinel_match(value, spec.sentinels, name in cats), F.lit(fill).cast("string")).otherwise(value)
+        exprs.append(value.alias(name))
+    return df.select(*exprs)
 
 
 @dataclass
@@ -48,35 +61,42 @@ class Cleaned:
     uncastable: DataFrame | None
     constant: list[str]
     after: DataFrame
+    model: CleanerModel
 
 
-def clean(df: DataFrame, spec: TableSpec, impute_exact: bool = True, checkpoint: bool = True) -> Cleaned:
-    """Cast -> report uncastable -> dedup -> impute -> non-finite -> categories -> constants ->
-    clamp -> profile.  Returns the cleaned frame plus the reports as DataFrames.
+def cleaner_for(df: DataFrame, spec: TableSpec, strategy: str = "median", unseen: str = "keep") -> Cleaner:
+    """The fitted cleaning a table's roles ask for."""
+    numerics = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in (spec.label, spec.key)]
+    present = lambda cols: [c for c in cols if c in df.columns]
+    cats = present((*spec.categoricals, spec.label))
+    return Cleaner(numerics, cats, [c for c in present(spec.non_negative) if c in numerics], strategy, "unknown", unseen)
 
-    The statistics (medians, constant columns) are each one aggregate pass over the de-duplicated
-    table; with ``checkpoint`` that table is written once to the shared checkpoint folder so the
-    de-duplication shuffle is not repeated for every pass (nor after a lost executor).
+
+def clean(
+    df: DataFrame, spec: TableSpec, impute_exact: bool = True, checkpoint: bool = True, fit_on: str = "all", unseen: str = "keep"
+) -> Cleaned:
+    """Cast, counting what does not -> dedup -> fit a :class:`Cleaner` (medians, constants, categories) -> apply it.  Returns the
+    cleaned frame plus the reports as DataFrames and the fitted cleaner.
+
+    ``fit_on="train"`` learns on the training half of the split by ``spec.key`` only (D15) and applies to all rows; ``"all"`` is the
+    table-level cleaning of the reference.  With ``checkpoint`` the cast and the de-duplicated table are written once each to the
+    shared checkpoint folder; the uncastable values are counted while the first is written.
     """
     uncastable = None
-    if spec.schema is not None:
+    if spec.schema is not None and checkpoint:
+        df, uncastable = C.cast_and_count(df, spec.schema)
+    elif spec.schema is not None:
         uncastable = profile_uncastable(df, spec.schema)
         df = C.cast_to_schema(df, spec.schema)
     df = C.deduplicate(df)
     if checkpoint:
         df = materialize(df)
-    numerics = [f.name for f in df.schema.fields
-                if isinstance(f.dataType, T.NumericType) and f.name not in (spec.label, spec.key)]
-    df = C.impute(df, numerics, "median", exact=impute_exact)
-    df = C.replace_non_finite(df, numerics, 0.0)
-    cats = [c for c in (*spec.categoricals, spec.label) if c in df.columns]
-    df = C.fill_category(df, cats, "unknown")
-    constant = constant_column_names(df, numerics)
-    df = C.zero_where_present(df, constant)
-    present = [c for c in spec.non_negative if c in df.columns]
-    if present:
-        df = C.clamp_min(df, present, 0)
-    return Cleaned(df, uncastable, constant, profile_columns(df))
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"unknown fit_on {fit_on!r}")
+    learn = df if fit_on == "all" else split(df, spec.key, spec.split_ratio, spec.seed)[0]
+    model = cleaner_for(df, spec, "median" if impute_exact else "approx_median", unseen).fit(learn)
+    done = model.transform(df)
+    return Cleaned(done, uncastable, model.constants, profile_columns(done), model)
 
 
 @dataclass
@@ -88,6 +108,9 @@ class Prepared:
     indexer: StringIndexerModel
     weights: DataFrame
     importance: DataFrame | None = None
+    categoricals: list[str] = field(default_factory=list)
+    invalid: str = "error"
+    skipped: DataFrame | None = None
 
 
 def prepare(
@@ -98,10 +121,16 @@ def prepare(
     select_weighted: bool = False,
     checkpoint: bool = True,
     partitions: int | None = None,
+    categoricals: str = "drop",
+    invalid: str = "error",
 ) -> Prepared:
     """Drop -> cast features -> split by key -> index label (fit on train) -> class weights (from
     train) -> top-N features by forest importance (fitted on train).
 
+    ``categoricals="encode"`` keeps the categorical columns as features: they compete for the top N as columns and are encoded by every
+    model's own stages; ``"drop"`` leaves them out.  ``invalid="skip"`` leaves rows with a null or NaN number out of fits and scores;
+    with ``checkpoint`` they are counted by half (``skipped``: ``split, n_rows, n_invalid``) while the table is written.
+
     With ``checkpoint`` the narrow modelling table (key, label, numeric features) is written once to
     the shared checkpoint folder: the label index, the weights, the selection forest and every config
     fit then read it instead of recomputing features from the source (for text input, a re-read of
@@ -115,17 +144,20 @@ def prepare(
     """
     if spec.key is None:
         raise ValueError("prepare needs spec.key for a reproducible split")
-    df = C.drop_columns(df, spec.drop + spec.categoricals)
-    features = spec.feature_columns(df.columns)
-    df = C.cast_columns(df, features, "double").select(spec.key, spec.label, *features)
+    if categoricals not in ("drop", "encode"):
+        raise ValueError(f"unknown categoricals {categoricals!r}")
+    cats = [c for c in spec.categoricals if c in df.columns and c not in spec.drop] if categoricals == "encode" else []
+    features = spec.feature_columns(C.drop_columns(df, spec.drop + spec.categoricals).columns)
+    df = C.cast_columns(df, features, "double").select(spec.key, spec.label, *features, *cats)
     if isinstance(df.schema[spec.label].dataType, T.StringType):
         df = C.fill_category(df, [spec.label], "unknown")
     else:
         df = df.where(qcol(spec.label).isNotNull())
     if partitions:
         df = df.repartition(partitions)
+    skipped = None
     if checkpoint:
-        df = materialize(df)
+        df, skipped = _write_counted(df, spec, features)
     train, test = split(df, spec.key, spec.split_ratio, spec.seed)
     label_col = f"{spec.label}_index"
     indexer = fit_indexer(train, [spec.label], "error", output_cols=[label_col])
@@ -133,12 +165,25 @@ def prepare(
     test = with_handle_invalid(indexer, "keep").transform(test)
     weights = class_weights(train, label_col)
     train = with_class_weight(train, label_col, weight_col, weights=weights)
-    importance = None
-    if select_n is not None:
-        features, importance = select_top_features(
-            train, features, label_col, n=select_n, weight=weight_col if select_weighted else None
-        )
-    return Prepared(train, test, label_col, features, indexer, weights, importance)
+    importance, weight = None, weight_col if select_weighted else None
+    if select_n is not None and (cats or invalid != "error"):
+        features, cats, importance = select_top_columns(train, features, cats, label_col, select_n, weight, invalid)
+    elif select_n is not None:
+        features, importance = select_top_features(train, features, label_col, n=select_n, weight=weight)
+    return Prepared(train, test, label_col, features, indexer, weights, importance, cats, invalid, skipped)
+
+
+def _write_counted(df: DataFrame, spec: TableSpec, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The table, written, and per half of the split its rows and those with a number that assembly calls invalid (F4), counted on
+    the way."""
+    seen = Observation()
+    in_train = train_condition(spec.key, spec.split_ratio, spec.seed)
+    bad = F.greatest(F.lit(False), F.lit(False), *(F.coalesce(F.isnan(qcol(c)), F.lit(True)) for c in features))
+    halves = {"train": in_train, "test": ~in_train}
+    counts = [F.count_if(half & cond).alias(f"{name}_{what}") for name, half in halves.items() for what, cond in (("rows", F.lit(True)), ("bad", bad))]
+    written = materialize(df.observe(seen, *counts))
+    rows = [(name, seen.get[f"{name}_rows"], seen.get[f"{name}_bad"]) for name in halves]
+    return written, literal_rows(df.sparkSession, rows, "split string, n_rows bigint, n_invalid bigint")
 
 
 @dataclass
@@ -150,6 +195,8 @@ class RunResult:
     classes: DataFrame | None = None
     sizes: DataFrame | None = None
     importances: dict[str, DataFrame] = field(default_factory=dict)
+    column_importances: dict[str, DataFrame] = field(default_factory=dict)
+    cleaned: Cleaned | None = None
 
 
 def run(
@@ -159,28 +206,54 @@ def run(
     select_n: int | None = 50,
     metrics: Sequence[str] = ("weightedPrecision", "f1"),
     weighted: bool = True,
+    categoricals: str = "drop",
+    invalid: str = "error",
+    parallelism: int = 1,
 ) -> RunResult:
     """Prepare, then compare the configurations on the same split; scores as one DataFrame.
 
-    ``weighted=False`` fits without class weights.  The result also holds the class distribution of the training rows, the
-    split sizes and each fitted configuration's importances by input feature (through the loadings where PCA stands between).
+    ``weighted=False`` fits without class weights; ``categoricals`` and ``invalid`` as in :func:`prepare`; ``parallelism`` configurations
+    are fitted at once.  The result also holds the class distribution of the training rows, the split sizes and each fitted
+    configuration's importances by vector slot and by input column (through the loadings where PCA stands between).
     """
-    prepared = prepare(df, spec, select_n=select_n)
+    prepared = prepare(df, spec, select_n=select_n, categoricals=categoricals, invalid=invalid)
     configs = list(configs) if configs is not None else default_configs()
     scores, models = compare_configs(
         prepared.train, prepared.test, configs, prepared.features, prepared.label_col,
-        weight="class_weight" if weighted else None, metrics=metrics,
+        weight="class_weight" if weighted else None, metrics=metrics, cache=False,
+        categoricals=prepared.categoricals, invalid=invalid, parallelism=parallelism,
     )
-    spark, ev, importances = df.sparkSession, None, {}
+    spark, ev, importances, by_column = df.sparkSession, None, {}, {}
     for cfg in configs:
         model = models.get(cfg.name)
         if model is None:
             continue
+        slots = [slot for slot, _ in slot_sources(model)]
         if cfg.pca_k:
             ev = explained_variance(spark, model.stages[-2])
-            importances[cfg.name] = backproject_importance(spark, model.stages[-2], model.stages[-1], prepared.features)
+            importances[cfg.name] = backproject_importance(spark, model.stages[-2], model.stages[-1], slots)
         else:
-            importances[cfg.name] = importance_table(spark, model.stages[-1].featureImportances.toArray().tolist(), prepared.features)
+            importances[cfg.name] = importance_table(spark, model.stages[-1].featureImportances.toArray().tolist(), slots)
+        by_column[cfg.name] = column_importance(spark, model)
     halves = [part.select(F.lit(name).alias("split")) for name, part in (("train", prepared.train), ("test", prepared.test))]
     sizes = split_sizes(halves[0].unionByName(halves[1]))
-    return RunResult(prepared, scores, models, ev, class_distribution(prepared.train, spec.label), sizes, importances)
+    return RunResult(prepared, scores, models, ev, class_distribution(prepared.train, spec.label), sizes, importances, by_column)
+
+
+def run_raw(
+    raw: DataFrame | str,
+    spec: TableSpec,
+    configs: Sequence[ForestConfig] | None = None,
+    select_n: int | None = 50,
+    sep: str = "\t",
+    unseen: str = "keep",
+    **kw,
+) -> RunResult:
+    """E4 from the raw table (or the path of a delimited file) to scores: read as text -> normalise -> cast -> dedup -> learn the
+    cleaning on the training half -> clean both halves -> :func:`run` with the categories encoded."""
+    if isinstance(raw, str):
+        raw = read_delimited(SparkSession.getActiveSession(), raw, sep, infer=False)
+    cleaned = clean(normalize(raw, spec), spec, fit_on="train", unseen=unseen)
+    result = run(cleaned.df, spec, configs, select_n, **({"categoricals": "encode"} | kw))
+    result.cleaned = cleaned
+    return result

@@ -9,13 +9,13 @@ from __future__ import annotations
 import warnings
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsift.functions.exprs import is_missing, is_non_finite, qcol, typed_lit
-from tabsift.operators.profile import constant_column_names, sentinel_match, uncastable
-from tabsift.operators.statistics import PICK_LIMIT, StatisticsPlan, literal_rows
+from tabsift.operators.profile import constant_column_names, sentinel_match
+from tabsift.operators.statistics import PICK_LIMIT, StatisticsPlan
 from tabsift.session import materialize
 from tabsift.spec import DEFAULT_SENTINELS
 
@@ -113,17 +113,6 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return _replace(df, exprs)
 
 
-def cast_and_count(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """C5 and P4 in one pass: the cast table, written once, and ``column, target_type, n_uncastable`` counted while it is written."""
-    targets = [f for f in schema.fields if f.name in df.columns and isinstance(f.dataType, T.NumericType)]
-    seen = Observation()
-    counts = [F.count_if(uncastable(qcol(f.name), f.dataType)).alias(f"bad_{i}") for i, f in enumerate(targets)]
-    written = materialize(cast_to_schema(df.observe(seen, *counts) if counts else df, schema))
-    found = seen.get if counts else {}
-    rows = [(f.name, f.dataType.simpleString(), found[f"bad_{i}"]) for i, f in enumerate(targets)]
-    return written, literal_rows(df.sparkSession, rows, "column string, target_type string, n_uncastable bigint")
-
-
 def cast_columns(df: DataFrame, cols: Iterable[str], dtype: T.DataType | str = "double") -> DataFrame:
     """``try_cast`` the named columns to one type (bad text -> null)."""
     return _replace(df, {c: qcol(c).try_cast(dtype) for c in _check_present(df, cols)})
@@ -230,13 +219,39 @@ def drop_constant(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame
     return df.drop(*constant_column_names(df, cols))
 
 
-def deduplicate(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+#: Digests of repeated rows are broadcast up to this size.
+REPEATED_BYTES = 64_000_000
+DIGEST_BYTES = 32
+
+
+def deduplicate(df: DataFrame, subset: Sequence[str] | None = None, by: str = "rows", max_broadcast_bytes: int = REPEATED_BYTES) -> DataFrame:
     """Whole-row (or subset) de-duplication.
 
-    Planned as a hash aggregate with a map-side partial step, so many copies of one row collapse
+    ``by="rows"``: planned as a hash aggregate with a map-side partial step, so many copies of one row collapse
     before the shuffle.  Run it before encoding: same result, narrower rows.
+
+    ``by="digest"`` (whole rows): first only 128-bit digests are counted; then rows whose digest is held once stay where they are, and
+    only rows whose digest repeats are moved and compared in full.  The repeated digests are broadcast if they measure
+    ``max_broadcast_bytes`` at most; a table with more distinct repeated rows is de-duplicated by rows.  ``df`` is read twice, so it
+    should be a written table.
     """
-    return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
+    if by == "rows" or subset:
+        return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
+    if by != "digest":
+        raise ValueError(f"unknown by {by!r}")
+    cols = []
+    for f in df.schema.fields:  # equal rows have equal digests: -0.0 equals 0.0
+        cols.append(qcol(f.name) + F.lit(0.0).cast(f.dataType) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else qcol(f.name))
+    nulls = [qcol(c).isNull() for c in df.columns]
+    digest = [F.xxhash64(*cols, *nulls).alias("__d1"), F.xxhash64(F.lit("2"), *nulls, *cols).alias("__d2")]
+    counted = df.select(*digest).groupBy("__d1", "__d2").agg(F.count(F.lit(1)).alias("n"))
+    repeated = materialize(counted.where(F.col("n") > 1).select("__d1", "__d2", F.lit(True).alias("__again")))
+    if repeated.count() * DIGEST_BYTES > max_broadcast_bytes:
+        return df.dropDuplicates()
+    marked = df.select(*map(qcol, df.columns), *digest).join(F.broadcast(repeated), ["__d1", "__d2"], "left")
+    again = F.col("__again").isNotNull()
+    keep = [qcol(c) for c in df.columns]
+    return marked.where(~again).select(*keep).unionByName(marked.where(again).select(*keep).dropDuplicates())
 
 
 def clamp_min(df: DataFrame, cols: Iterable[str], minimum=0) -> DataFrame:
@@ -257,7 +272,6 @@ def drop_non_finite_rows(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
 
 
 __all__ = [
-    "cast_and_count",
     "cast_columns",
     "cast_to_schema",
     "check_schema",

@@ -6,7 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tabsift.functions.exprs import qcol
+from tabsift.operators.weights import MAX_BROADCAST_BYTES, ROW_BYTES
+from tabsift.session import materialize
 
 
 def index_suffix(col: str) -> str:
@@ -44,6 +49,45 @@ def with_handle_invalid(model: StringIndexerModel, handle_invalid: str) -> Strin
     return model.copy({model.handleInvalid: handle_invalid})
 
 
+def category_ranks(df: DataFrame, col: str) -> DataFrame:
+    """F1 for any number of categories: ``value, n, index`` (most frequent 0, ties by value), written to the shared folder.
+
+    The counts are dealt by ranges of (frequency, value) and numbered by range, so no task and not the driver ever holds all
+    categories; what is gathered is one count per range."""
+    counts = df.groupBy(qcol(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).where("value is not null")
+    ranged = counts.repartitionByRange(F.col("n").desc(), "value").sortWithinPartitions(F.col("n").desc(), "value")
+    numbered = materialize(ranged.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33).alias("part")
+    sizes = numbered.groupBy(part).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("part", "first", before.alias("before"))  # a row per range
+    placed = numbered.withColumn("part", part).join(F.broadcast(starts), "part")
+    return materialize(placed.select("value", "n", (F.col("at") - F.col("first") + F.col("before")).alias("index")))
+
+
+def index_by_ranks(
+    df: DataFrame, col: str, ranks: DataFrame, output_col: str | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """add the index of ``col`` from a table of :func:`category_ranks`; null and unseen values get K, one beyond the last.
+
+    The table is broadcast if its measured size allows, else joined by a shuffle in which the most frequent values, as many as
+    may be broadcast, are still looked up where their rows lie, so no hot category is moved."""
+    out = output_col or index_suffix(col)
+    size = F.octet_length("value") + ROW_BYTES
+    k, total = ranks.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    table = ranks.select(F.col("value").alias("__value"), F.col("index").alias("__index"))
+    key, keep = qcol(col).cast("string"), [qcol(c) for c in df.columns]
+    index = F.coalesce(F.col("__index"), F.lit(k)).cast("double").alias(out)
+    if total <= max_broadcast_bytes:
+        return df.join(F.broadcast(table), key == F.col("__value"), "left").select(*keep, index)
+    frequent = int(k * max_broadcast_bytes / total)
+    hot, rest = table.where(F.col("__index") < frequent), table.where(F.col("__index") >= frequent)
+    known = df.join(F.broadcast(hot), key == F.col("__value"), "left")
+    found = F.col("__index").isNotNull() | qcol(col).isNull()
+    others = known.where(~found).select(*keep).join(rest.hint("shuffle_merge"), key == F.col("__value"), "left")
+    return known.where(found).select(*keep, index).unionByName(others.select(*keep, index))
+
+
 def one_hot(
     df: DataFrame,
     index_cols: Sequence[str],

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsift.functions.exprs import qcol
+from tabsift.functions.exprs import is_missing, qcol
 from tabsift.operators import clean as C
 from tabsift.operators.encode import fit_indexer, slot_sources, with_handle_invalid
 from tabsift.operators.evaluate import compare_configs
@@ -30,8 +31,7 @@ from tabsift.operators.features import (
 )
 from tabsift.operators.fitted import Cleaner, CleanerModel
 from tabsift.operators.profile import class_distribution, profile_columns, profile_uncastable, sentinel_match, split_sizes
-from tabsift.operators.split import split, train_condition
-from tabsift.operators.statistics import literal_rows
+from tabsift.operators.split import assign_split, split
 from tabsift.operators.weights import class_weights, with_class_weight
 from tabsift.session import materialize
 from tabsift.sources.delimited import read_delimited
@@ -60,9 +60,13 @@ class Cleaned:
     df: DataFrame
     uncastable: DataFrame | None
     constant: list[str]
-    after: DataFrame
     model: CleanerModel
 
+    @cached_property
+    def after(self) -> DataFrame:
+        """P5: the profile of the cleaned table."""
+        return profile_columns(self.df)
+
 
 def cleaner_for(df: DataFrame, spec: TableSpec, strategy: str = "median", unseen: str = "keep") -> Cleaner:
     """The fitted cleaning a table's roles ask for."""
@@ -75,19 +79,18 @@ def cleaner_for(df: DataFrame, spec: TableSpec, strategy: str = "median", unseen
 def clean(
     df: DataFrame, spec: TableSpec, impute_exact: bool = True, checkpoint: bool = True, fit_on: str = "all", unseen: str = "keep"
 ) -> Cleaned:
-    """Cast, counting what does not -> dedup -> fit a :class:`Cleaner` (medians, constants, categories) -> apply it.  Returns the
-    cleaned frame plus the reports as DataFrames and the fitted cleaner.
+    """Cast -> dedup -> fit a :class:`Cleaner` (medians, constants, categories) -> apply it.  Returns the cleaned frame plus the
+    reports (uncastable values, profile afterwards) as lazy DataFrames and the fitted cleaner.
 
     ``fit_on="train"`` learns on the training half of the split by ``spec.key`` only (D15) and applies to all rows; ``"all"`` is the
     table-level cleaning of the reference.  With ``checkpoint`` the cast and the de-duplicated table are written once each to the
-    shared checkpoint folder; the uncastable values are counted while the first is written.
+    shared checkpoint folder.
     """
     uncastable = None
-    if spec.schema is not None and checkpoint:
-        df, uncastable = C.cast_and_count(df, spec.schema)
-    elif spec.schema is not None:
+    if spec.schema is not None:
         uncastable = profile_uncastable(df, spec.schema)
         df = C.cast_to_schema(df, spec.schema)
+        df = materialize(df) if checkpoint else df
     df = C.deduplicate(df)
     if checkpoint:
         df = materialize(df)
@@ -96,7 +99,7 @@ def clean(
     learn = df if fit_on == "all" else split(df, spec.key, spec.split_ratio, spec.seed)[0]
     model = cleaner_for(df, spec, "median" if impute_exact else "approx_median", unseen).fit(learn)
     done = model.transform(df)
-    return Cleaned(done, uncastable, model.constants, profile_columns(done), model)
+    return Cleaned(done, uncastable, model.constants, model)
 
 
 @dataclass
@@ -128,8 +131,8 @@ def prepare(
     train) -> top-N features by forest importance (fitted on train).
 
     ``categoricals="encode"`` keeps the categorical columns as features: they compete for the top N as columns and are encoded by every
-    model's own stages; ``"drop"`` leaves them out.  ``invalid="skip"`` leaves rows with a null or NaN number out of fits and scores;
-    with ``checkpoint`` they are counted by half (``skipped``: ``split, n_rows, n_invalid``) while the table is written.
+    model's own stages; ``"drop"`` leaves them out.  ``invalid="skip"`` leaves rows with a null or NaN number out of fits and scores
+    and counts them by half (``skipped``, lazy: ``split, n_rows, n_invalid``).
 
     With ``checkpoint`` the narrow modelling table (key, label, numeric features) is written once to
     the shared checkpoint folder: the label index, the weights, the selection forest and every config
@@ -155,9 +158,9 @@ def prepare(
         df = df.where(qcol(spec.label).isNotNull())
     if partitions:
         df = df.repartition(partitions)
-    skipped = None
     if checkpoint:
-        df, skipped = _write_counted(df, spec, features)
+        df = materialize(df)
+    skipped = invalid_rows(df, spec, features) if invalid == "skip" else None
     train, test = split(df, spec.key, spec.split_ratio, spec.seed)
     label_col = f"{spec.label}_index"
     indexer = fit_indexer(train, [spec.label], "error", output_cols=[label_col])
@@ -173,17 +176,11 @@ def prepare(
     return Prepared(train, test, label_col, features, indexer, weights, importance, cats, invalid, skipped)
 
 
-def _write_counted(df: DataFrame, spec: TableSpec, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The table, written, and per half of the split its rows and those with a number that assembly calls invalid (F4), counted on
-    the way."""
-    seen = Observation()
-    in_train = train_condition(spec.key, spec.split_ratio, spec.seed)
-    bad = F.greatest(F.lit(False), F.lit(False), *(F.coalesce(F.isnan(qcol(c)), F.lit(True)) for c in features))
-    halves = {"train": in_train, "test": ~in_train}
-    counts = [F.count_if(half & cond).alias(f"{name}_{what}") for name, half in halves.items() for what, cond in (("rows", F.lit(True)), ("bad", bad))]
-    written = materialize(df.observe(seen, *counts))
-    rows = [(name, seen.get[f"{name}_rows"], seen.get[f"{name}_bad"]) for name in halves]
-    return written, literal_rows(df.sparkSession, rows, "split string, n_rows bigint, n_invalid bigint")
+def invalid_rows(df: DataFrame, spec: TableSpec, features: Sequence[str]) -> DataFrame:
+    """``split, n_rows, n_invalid``: per half its rows and those with a number that assembly calls invalid (null or NaN)."""
+    bad = F.greatest(F.lit(False), F.lit(False), *(is_missing(qcol(c), df.schema[c].dataType) for c in features))
+    halves = assign_split(df, spec.key, spec.split_ratio, spec.seed).fillna("test", ["split"])
+    return halves.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_invalid"))
 
 
 @dataclass

@@ -846,12 +846,14 @@ def clean_sql(
     nums: dict[str, str],
     non_negative: tuple[str, ...] = (),
     raw_names: dict[str, str] | None = None,
+    learn_on: str = "TRUE",
 ) -> str:
     """DuckDB form of ``clean(normalize(t, spec), spec)``: categories lower-cased with sentinels (any
     case) -> null -> 'unknown'; numeric text with sentinels -> null, then TRY_CAST; DISTINCT; missing
     -> exact lower median (0 when a column has none); +-Inf -> 0; constant columns (stddev 0 or null)
     -> 0 where present; ``non_negative`` clamped at 0.  ``text_nums``/``nums`` map column -> INTEGER or
-    DOUBLE; ``raw_names`` maps normalised names to raw (dotted) ones."""
+    DOUBLE; ``raw_names`` maps normalised names to raw (dotted) ones; medians and constants are those of the
+    rows that ``learn_on`` names."""
     raw_names = raw_names or {}
     s_ = SENTINELS_SQL
 
@@ -886,10 +888,10 @@ def clean_sql(
 WITH {ctes},
 n AS (SELECT {", ".join(norm)} FROM {table}),
 d AS (SELECT DISTINCT * FROM n),
-m AS (SELECT {med} FROM d),
+m AS (SELECT {med} FROM d WHERE {learn_on}),
 f AS (SELECT {", ".join(keep[:1] if key else [])}{", " if key else ""}{", ".join(f"COALESCE({c}, 'unknown') AS {c}" for c in (label, *cats))},
         {", ".join(fixed)} FROM d),
-s AS (SELECT {sd} FROM f)
+s AS (SELECT {sd} FROM f WHERE {learn_on})
 SELECT {", ".join(keep)}, {", ".join(final)} FROM f
 """
 
@@ -964,3 +966,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
+
+
+from tabsift.plans import registry_more  # noqa: E402, F401  (registers its queries here)

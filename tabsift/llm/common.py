@@ -16,6 +16,15 @@ BATCH_CHARS = 4_000_000
 HOT_PARTS = 200
 
 
+def drop_idle_coders() -> None:
+    """Free the vocabularies that an earlier stage left in this worker; a stage that encodes loads its own again."""
+    import sys
+
+    coders = getattr(sys.modules.get("tabsift.llm.bpe"), "_CODERS", None)
+    if coders:
+        coders.clear()
+
+
 def lang_mod(doc_id: Column) -> Column:
     """crc32 of the decimal text of the id, modulo 4."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

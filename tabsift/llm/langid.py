@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import unicode_tables as U
-from .common import map_texts
+from .common import _slices, drop_idle_coders, map_texts
 from .rolling import mix
 
 BUCKETS = 1 << 16
@@ -25,6 +25,11 @@ SCRIPT_SHARE = 0.001
 #: The model keeps a row of BUCKETS floats per language; more labels than this are refused.
 MAX_LANGUAGES = 500
 
+#: A language's trigram counts are smoothed by this many trigrams with the shares they have in all languages together.
+BACKGROUND = 6500.0
+#: Characters looked at together (a longer text by itself); the arrays of a portion take about 100 bytes a character.
+PORTION = 500_000
+
 FAR = np.float32(-1e6)
 LANES = 256
 
@@ -58,15 +63,16 @@ def fit_language_model(docs: DataFrame, text_col: str = "text", lang_col: str =
     def count(batches):
         import pyarrow as pa
 
+        drop_idle_coders()
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for part in (p for batch in batches for p in _slices(batch, "text")):
             by_lang: dict[str, list[str]] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by_lang.setdefault(lang, []).append(text or "")
+            for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                by_lang.setdefault(lang, []).extend(_pieces(text or ""))
             for lang, texts in by_lang.items():
                 total = sums.setdefault(lang, np.zeros(BUCKETS + n_scripts, np.int64))
-                for part in _portions(texts):
-                    bucket, at, first, cp, _ = _words(part)
+                for some in _portions(texts):
+                    bucket, at, first, cp, _ = _words(some)
                     if bucket is not None:
                         total[:BUCKETS] += np.bincount(bucket, minlength=BUCKETS)
                         total[BUCKETS:] += np.bincount(U.scripts()[cp[at[first]]], minlength=n_scripts)
@@ -88,12 +94,26 @@ def fit_language_model(docs: DataFrame, text_col: str = "text", lang_col: str =
     for i, r in enumerate(rows):
         table[i, r["cells"]] = r["n"]
     grams, words = table[:, :BUCKETS], table[:, BUCKETS:]
-    log_p = np.log((grams + 0.1) / (grams.sum(1, keepdims=True) + 0.1 * BUCKETS)).astype(np.float32)
+    shared = (grams.sum(0) + 1) / (grams.sum() + BUCKETS)  # so that a label with little text is not favoured where it knows nothing
+    log_p = np.log((grams + BACKGROUND * shared) / (grams.sum(1, keepdims=True) + BACKGROUND)).astype(np.float32)
     share = words / np.maximum(words.sum(1, keepdims=True), 1)
     return LanguageModel(langs, log_p, (share >= SCRIPT_SHARE).T)
 
 
-def _portions(texts: list[str], limit: int = 2_000_000):
+def _pieces(text: str, limit: int = PORTION):
+    """A long text in pieces that end at a space, which no word reaches over; one without a space near stays whole until the next."""
+    start = 0
+    while len(text) - start > limit:
+        end = text.rfind(" ", start, start + limit)
+        end = end if end > start else text.find(" ", start + limit)
+        if end < 0:
+            break
+        yield text[start:end]
+        start = end
+    yield text[start:] if start else text
+
+
+def _portions(texts: list[str], limit: int = PORTION):
     part, n = [], 0
     for t in texts:
         if part and n + len(t) > limit:
@@ -211,10 +231,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            found = []
-            for start in range(0, batch.num_rows, 1000):
-                found += [bool(s) for s in label_spans(batch.column(at).slice(start, 1000).to_pylist(), model)]
-            yield batch.filter(pa.array(found, pa.bool_()))
+        drop_idle_coders()
+        for part in (p for batch in batches for p in _slices(batch, text_col)):
+            yield part.filter(pa.array([bool(s) for s in label_spans(part.column(at).to_pylist(), model)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import join_hot
 
-#: Sweeps over all margins.  Each sweep multiplies the error by about a constant (0.1 or less where nearly all cells are
-#: filled, 0.35 where half are); factors are rounded to 6 decimals.
-SWEEPS = 10
+#: Sweeps go on until no margin's share is off its target by more than this; factors are rounded to 6 decimals.
+TOLERANCE = 1e-12
+#: Targets that no scaling of the filled cells can meet never get there: the sweeps end once SLOW of them together gain
+#: less than a tenth, with a warning.
+SLOW = 8
 
 NONE = "(none)"
 
@@ -44,28 +48,39 @@ def tempered(cells: DataFrame, margin: str, temperature: float) -> DataFrame:
     return powered.join(F.broadcast(whole)).select(margin, (F.col("power") / F.col("whole")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` with ``factor``: after scaling tokens by it, every margin has its target shares (``margin, target``).
 
     Each step divides a margin value's target share by its present share and scales the value's cells by it.  Cells
-    without tokens, or whose margin value has no target, get factor 0.  Cells are far fewer than documents (one per
-    filled combination) but no bound on them is needed: steps are sums with map-side partials and equi-joins,
-    and the table is written to the shared folder every other sweep.
+    without tokens, or whose margin value has no target, get factor 0.  Sweeps over all margins end when the largest error of a
+    margin's share, taken just before the margin is scaled, is at most ``tolerance``; if the errors stop falling first, the
+    targets contradict each other, and the factors of the last sweep are returned with a warning.  Cells are far fewer than
+    documents (one per filled combination) but no bound on them is needed: a sweep is a plan of its own, of sums with map-side
+    partials and equi-joins, whose table is written to the shared folder; one number a sweep comes to the driver.
     """
     whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
-    fitted = cells.withColumn("factor", F.lit(1.0))
+    fitted = cells.withColumn("factor", F.lit(1.0)).withColumn("gap", F.lit(0.0))
     for margin, target in targets.items():
         fitted = fitted.join(target.withColumnRenamed("target", f"target_{margin}"), margin, "left")
-    fitted = materialize(fitted)
-    for sweep in range(sweeps):
+    fitted, gaps = materialize(fitted), []
+    while True:
+        fitted = fitted.withColumn("gap", F.lit(0.0))
         for margin in targets:
-            mass = F.sum(F.col("tokens") * F.col("factor"))
-            step = F.when(mass > 0, F.max(f"target_{margin}") * F.lit(whole) / mass)
-            steps = fitted.groupBy(margin).agg(F.coalesce(step, F.lit(0.0)).alias("step"))
-            fitted = fitted.join(steps, margin).withColumn("factor", F.col("factor") * F.col("step")).drop("step")
-        if sweep % 2 or sweep == sweeps - 1:
-            fitted = materialize(fitted)
-    return fitted.drop(*(f"target_{m}" for m in targets))
+            mass, target = F.sum(F.col("tokens") * F.col("factor")), F.coalesce(F.max(f"target_{margin}"), F.lit(0.0))
+            step = F.when(mass > 0, target * F.lit(whole) / mass)
+            gap = F.abs(F.coalesce(mass, F.lit(0.0)) / F.lit(whole) - target)
+            steps = fitted.groupBy(margin).agg(F.coalesce(step, F.lit(0.0)).alias("step"), gap.alias("off"))
+            fitted = fitted.join(steps, margin)
+            fitted = fitted.withColumn("factor", F.col("factor") * F.col("step")).withColumn("gap", F.greatest("gap", "off")).drop("step", "off")
+        fitted = materialize(fitted)
+        gaps.append(fitted.agg(F.coalesce(F.max("gap"), F.lit(0.0))).first()[0])
+        if gaps[-1] <= tolerance:
+            break
+        if len(gaps) > SLOW and gaps[-1] > 0.9 * gaps[-1 - SLOW]:
+            if gaps[-1] > 1e-9:
+                warnings.warn(f"the targets contradict each other: after {len(gaps)} sweeps a margin's share is still off by {gaps[-1]:.2g}")
+            break
+    return fitted.drop("gap", *(f"target_{m}" for m in targets))
 
 
 def _cell(names: list[str]) -> Column:
@@ -82,7 +97,6 @@ def mix_sources(
     text_col: str = "text",
     keep: float = 1.0,
     seed: int = 42,
-    sweeps: int = SWEEPS,
     targets: dict[str, DataFrame] | None = None,
     with_row: bool = False,
     copies: bool = False,
@@ -109,7 +123,7 @@ def mix_sources(
         view = materialize(view)
     cells = materialize(view.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows")))
     goals = {n: (targets or {}).get(n) or tempered(cells, n, temperatures[n]) for n in names}
-    fitted = rake(cells, goals, sweeps)
+    fitted = rake(cells, goals)
     total = cells.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     rounded = F.when(F.col("tokens") > 0, F.round("factor", 6)).otherwise(1.0)
     sized = fitted.select(_cell(names).alias("cell"), rounded.alias("factor"), "rows")

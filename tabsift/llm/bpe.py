@@ -289,11 +289,12 @@ def encode_texts(
         .groupBy("text_key").agg(F.collect_list("p").alias("parts"))
     )
     late = waiting.mapInArrow(_rows_of(_assemble(vocabulary, outputs), f"text_key binary, {_RESULT}{extra}"), f"text_key binary, {_RESULT}{extra}")
-    done = materialize(made.where(F.col("kind") == _DONE).select(*result).dropDuplicates(["text_key"]).unionByName(late.select(*result)))
+    done = made.where(F.col("kind") == _DONE).select(*result).dropDuplicates(["text_key"]).unionByName(late.select(*result))
     members = listed.select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "text_key", "n_bytes")
-    if outputs:  # a text with its ids may be long, so nothing is broadcast here
+    if outputs:  # a text with its ids may be long, so nothing is broadcast here, and they are not written once more
         coded = members.join(done, "text_key", "left")
     else:
+        done = materialize(done)
         coded = join_hot(members, done.join(texts.select("text_key", "rows"), "text_key"), "text_key", "rows", total)
     return coded.select("doc_id", *result[1:], "n_bytes")
 

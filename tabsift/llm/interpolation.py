@@ -24,7 +24,7 @@ from ..session import materialize
 from .rolling import mix
 
 #: Bytes of text in a slice (a longer text is a slice of its own) and per range of keys.
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 8_000_000
 RANGE_BYTES = 8_000_000
 #: Bytes of text hashed at a time.
 PORTION = 1_000_000
@@ -94,7 +94,7 @@ def token_hashes(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray
     return tokens, start
 
 
-def ngram_keys(tokens: np.ndarray, start: np.ndarray, order: int) -> list[np.ndarray]:
+def ngram_keys(tokens: np.ndarray, order: int) -> list[np.ndarray]:
     """Per order the keys of the n-grams that end at each token (without meaning where they would begin before the text)."""
     keys, h = [], tokens
     with np.errstate(over="ignore"):
@@ -105,11 +105,10 @@ def ngram_keys(tokens: np.ndarray, start: np.ndarray, order: int) -> list[np.nda
     return keys
 
 
-def distinct_keys(tokens: np.ndarray, start: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_keys(keys: list[np.ndarray], start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of all orders, and their frequencies."""
-    place = np.arange(len(tokens)) - np.repeat(start, np.diff(np.append(start, len(tokens))))
-    keys = [own[place >= k] for k, own in enumerate(ngram_keys(tokens, start, order))]
-    return np.unique(np.concatenate(keys), return_counts=True)
+    place = np.arange(len(keys[0])) - np.repeat(start, np.diff(np.append(start, len(keys[0]))))
+    return np.unique(np.concatenate([own[place >= k] for k, own in enumerate(keys)]), return_counts=True)
 
 
 # ---------------------------------------------------------------- packed columns
@@ -202,7 +201,8 @@ def requests(slices: DataFrame, order: int, ranges: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 number, part, sizes, data = (batch.column(c)[row].as_py() for c in ("slice", "part", "n_texts", "texts"))
-                keys, n = distinct_keys(*token_hashes(_texts(data, sizes), order), order)
+                tokens, start = token_hashes(_texts(data, sizes), order)
+                keys, n = distinct_keys(ngram_keys(tokens, order), start)
                 bounds = range_bounds(keys, ranges)
                 own = [(r, a, z) for r, (a, z) in enumerate(zip(bounds, bounds[1:])) if a < z]
                 columns = [
@@ -260,8 +260,8 @@ class Estimates:
 
     def __init__(self, data: bytes, sizes: list[int], given: list[bytes], order: int, n: int, vocabulary: int):
         tokens, start = token_hashes(_texts(data, sizes), order)
-        keys = ngram_keys(tokens, start, order)
-        known, _ = distinct_keys(tokens, start, order)
+        keys = ngram_keys(tokens, order)
+        known, _ = distinct_keys(keys, start)
         found = np.concatenate([unpack_numbers(g) for g in given]).astype(np.int64)
         size = np.diff(np.append(start, len(tokens)))
         place = np.arange(len(tokens)) - np.repeat(start, size)

@@ -86,3 +86,43 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, rows_of_key: str, tota
     of_hot = flagged.where(F.col("_hot_key").isNotNull()).drop("_hot_key").join(F.broadcast(hot), key, how)
     of_rest = flagged.where(F.col("_hot_key").isNull()).drop("_hot_key").join(rest, key, how)
     return of_hot.unionByName(of_rest)
+
+
+#: Bits of a filter, whatever the number of its keys (8 MB); beyond some 100 million keys it lets more and more others pass.
+FILTER_BITS = 26
+#: Bits of a row of the filter.
+_ROW_BITS = 15
+
+
+def _bit_rows(keys: DataFrame, key: str) -> DataFrame:
+    """``_row, _bits``: at most 2 ** 11 rows of 4 kB with the bits of the keys' hashes set."""
+    at = F.xxhash64(key).bitwiseAND(F.lit(2**FILTER_BITS - 1))
+    bits = keys.where(F.col(key).isNotNull()).select(F.shiftright(at, _ROW_BITS).alias("_row"), at.bitwiseAND(F.lit(2**_ROW_BITS - 1)).alias("_bit"))
+    return bits.distinct().repartition("_row").groupBy("_row").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def maybe_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys``, and by chance some others (none with a null key): what an exact join
+    by ``key`` needs, told before anything is moved.  The filter that is broadcast has 2 ** FILTER_BITS bits."""
+    at = F.xxhash64(key).bitwiseAND(F.lit(2**FILTER_BITS - 1))
+    bit = at.bitwiseAND(F.lit(2**_ROW_BITS - 1))
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = df.join(F.broadcast(_bit_rows(keys, key)), F.shiftright(at, _ROW_BITS) == F.col("_row"))
+    return met.where(byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0).where(F.col(key).isNotNull()).select(*df.columns)
+
+
+def collect_bits(keys: DataFrame, key: str) -> bytes:
+    """The same filter as bytes, for :func:`has_bit` in Python; its size does not depend on the keys."""
+    out = bytearray(2 ** (FILTER_BITS - 3))
+    size = 2 ** (_ROW_BITS - 3)
+    for row, bits in _bit_rows(keys, key).collect():
+        out[row * size : (row + 1) * size] = bits
+    return bytes(out)
+
+
+def has_bit(bits: bytes, text: str) -> bool:
+    """Whether a text may be among the keys of :func:`collect_bits`."""
+    import xxhash
+
+    at = xxhash.xxh64_intdigest(text, 42) & (2**FILTER_BITS - 1)
+    return bits[at >> 3] >> (at & 7) & 1 == 1

@@ -8,6 +8,7 @@ restored words are scored.  Tokens without any alternative have one path through
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import unicode_tables as U
-from .common import join_hot, map_texts
+from .common import collect_bits, has_bit, join_hot, map_texts, maybe_in
 
 # What a look-alike character may stand for.
 LOOKALIKES = {
@@ -62,6 +63,7 @@ MIN_RATIO, MIN_WEIGHT, CAUTION = 2.0, 2.0, 1.0
 #: Smallest hashes of a text that stand for its runs of five words, the Jaccard similarity of near copies, bands in which they are sought.
 SKETCH, SIMILAR, BANDS = 256, 0.8, 8
 _REHASH = np.random.default_rng(42).integers(0, 2**64, (2 * BANDS, 2), np.uint64, endpoint=False)
+_RUN_MULT = np.uint64(0x9E3779B97F4A7C15)
 #: Width and number of the bins in which sums of word weights are turned into probabilities.
 BIN, BINS = 0.5, 400
 #: Tokens a task remembers at a time, and their length; others are worked out again.
@@ -70,7 +72,6 @@ REMEMBERED, REMEMBERED_CHARS = 200_000, 100
 HELD = 1_000_000
 #: Characters between two looks for what all paths of a lattice share.
 SETTLE = 64
-COUNTS = ("bad_texts", "bad_words", "good_texts", "good_words")
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1")
@@ -80,6 +81,9 @@ _BEFORE, _AFTER = r"(?<![^\s\"'(\[{<“‘«])", r"(?![^\s.,;:!?\"')\]}>”’»
 _APART = re.compile(f"{_BEFORE}{_ITEM}(?:{_GAP}{{1,2}}{_ITEM}){{2,}}{_AFTER}")
 #: What every match of _APART holds: a character between separators and one more standing alone.
 _MAYBE_APART = re.compile(f"{_GAP}{_ITEM}{_GAP}{{1,2}}{_ITEM}{_AFTER}")
+#: The same without its conditions: most texts have no such place and are told apart by this quicker search.
+_SINGLE = re.compile(r"[ .\-_~*](?:[^\W_]|[@$!|+€£(*])[ .\-_~*]{1,2}(?:[^\W_]|[@$!|+€£(*])(?![^\s.,;:!?\"')\]}>”’»])")
+_LOOKALIKE = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _GAPS = re.compile(f"{_GAP}+")
 _RIM = ".,;:?\"'()[]{}<>!-_~"
 
@@ -105,34 +109,41 @@ class ToxicityModel:
         """Weights of the text's restored words that have any, times their number."""
         out: dict[str, float] = {}
         low = (text or "").lower()
-        known, plain = self.tokens, self.plain
-        for token, n in Counter(low.split()).items():
-            if token in plain:
-                continue
-            hits = known.get(token)
-            if hits is None:
-                hits = self._hits(token)
-                if len(token) <= REMEMBERED_CHARS:
-                    if len(known) + len(plain) >= REMEMBERED:
-                        known.clear()
-                        plain.clear()
-                    if hits:
-                        known[token] = hits
-                    else:
-                        plain.add(token)
-            for w, x in hits:
-                out[w] = out.get(w, 0.0) + x * n
+        known, plain, long = self.tokens, self.plain, {}
+        if len(known) + len(plain) >= REMEMBERED:
+            known.clear()
+            plain.clear()
+        counts = Counter(low.split())
+        fresh = [t for t in counts if t not in plain and t not in known]
+        calm = not _STRETCHED.search(" ".join(fresh))
+        for token in fresh:
+            hits = self._hits(token, calm)
+            if len(token) > REMEMBERED_CHARS:
+                long[token] = hits
+            elif hits:
+                known[token] = hits
+            else:
+                plain.add(token)
+        for token in counts.keys() - plain:
+            for w, x in known.get(token) or long.get(token, ()):
+                out[w] = out.get(w, 0.0) + x * counts[token]
         for w in spaced_words(low, self):
             if w not in out and (x := self.weight(w)):
                 out[w] = x
         return out
 
-    def _hits(self, token: str) -> tuple:
+    def _hits(self, token: str, calm: bool) -> tuple:
+        """Weighed words of the token; ``calm`` says that no letter of it is stretched."""
         core = token.strip(_RIM)
-        if core.isalpha() and core[:3] not in self._heads() and not _STRETCHED.search(core) and token[0] == core[0]:
+        heads = self._heads()
+        if core.isalpha() and core[:3] not in heads and token[0] == core[0] and (calm or not _STRETCHED.search(core)):
             return ()  # a plain word that no feature begins
-        if not token.isalpha() and not any(w[:3] in self._heads() for w in _WORD.findall(token)) and not self._reaches(token):
-            return ()  # nothing that the token may disguise begins like a feature
+        words = _WORD.findall(token)
+        if not any(w[:3] in heads for w in words):
+            if not words or (not _LOOKALIKE.search(token) and (calm or not _STRETCHED.search(token))):
+                return ()  # nothing but its words, which no feature begins
+            if not token.isalpha() and not self._reaches(token):
+                return ()  # nothing that the token may disguise begins like a feature
         return tuple((w, x) for w in token_words(token, self) if (x := self.weight(w)))
 
     def _reaches(self, token: str) -> bool:
@@ -227,19 +238,18 @@ def _portions(texts: list[str], limit: int = 2_000_000):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col: str = "text") -> ToxicityModel:
     """Learn from ``docs(doc_id, text)`` joined with ``labels(doc_id, toxic)`` and the character statistics of ``corpus``.
 
-    Copies and near copies (:func:`_distinct`) count once per label, else every word of a much copied toxic text would look toxic.  All labelled texts are read and every feature of them is counted; the tests
-    run in Spark, and only features that pass them and BINS rows come to the driver.  Sums of word weights over
-    the training texts then give the share of toxic ones by bin, made monotone.  Without toxic rows every score is the
-    share of toxic rows (0 without any).
+    Copies and near copies (:func:`_distinct`) count once per label, else every word of a much copied toxic text would look
+    toxic.  All labelled texts are read.  Features of toxic texts are counted first; those in at least MIN_TEXTS of
+    them are candidates, and only candidates are counted in the other texts (a filter of fixed size drops most others before
+    they move, the join with the candidates the rest).  The tests run in Spark, and only features that pass
+    them and BINS rows come to the driver.  Sums of word weights over the training texts then give the share of toxic
+    ones by bin, made monotone.  Without toxic rows every score is the share of toxic rows (0 without any).
     """
     log_p = fit_characters(corpus, text_col)
-    marked = (
-        docs.select("doc_id", F.col(text_col).alias("text"))
-        .join(labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")), "doc_id")
-    )
-    marked = materialize(_distinct(materialize(marked.select("text", "toxic", F.monotonically_increasing_id().alias("row")))))
+    marks = labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    marked = materialize(_distinct(docs.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")), marks))
     blank = ToxicityModel(log_p, {}, [0.0] * BINS)
-    lexicon = _lexicon(materialize(_feature_counts(marked, blank)))
+    lexicon = _lexicon(materialize(_counts(marked, blank)))
     if lexicon is None:
         return blank
     model = ToxicityModel(log_p, lexicon, [0.0] * BINS)
@@ -247,24 +257,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame, text_col
     return model
 
 
-def _distinct(marked: DataFrame) -> DataFrame:
-    """``text, toxic`` of ``marked(text, toxic, row)`` without copies and near copies within a label.
+def _distinct(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``text, toxic`` of the labelled texts without copies and near copies within a label.
 
     Equal texts are one.  A text goes only if it shares a band (two minima of re-hashed runs of five words) with the first text of
     that band, in the order of their hashes, and a Jaccard similarity of at least SIMILAR with it: exact for texts of up to
     SKETCH different runs together, else estimated from the SKETCH smallest hashes (standard error 0.025).  So the first of each
-    chain of copies stays, whatever the order of rows, and a shared passage alone drops nothing.  Only hashes are
-    compared and moved; the texts are joined once with the rows that stay.
+    chain of copies stays, whatever the order of rows, and a shared passage alone drops nothing.
+
+    Digests and bands are all that is compared and moved.  Smallest hashes are worked out and moved for texts that share a
+    band only, and texts are moved once, those that stay; which rows may be meant is known before the move from a filter of fixed size.
     """
-    schema = "row long, toxic int, digest string, mark long, bands array<long>, low binary"
-    once = materialize(map_texts(marked, _sketch, schema).dropDuplicates(["digest", "toxic"]))
-    banded = once.select("mark", F.explode("bands").alias("band"))
+    labelled = maybe_in(docs, marks, "doc_id")
+    sketches = map_texts(labelled, _bands, "doc_id long, digest string, bands array<long>")
+    once = sketches.join(marks, "doc_id").groupBy("digest", "toxic").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    once = materialize(once.withColumn("mark", F.xxhash64("digest", "toxic")))
+    banded = once.select("mark", "toxic", F.posexplode("bands").alias("k", "band")).select("mark", F.xxhash64("toxic", "k", "band").alias("band"))
     firsts = materialize(banded.groupBy("band").agg(F.min("mark").alias("first"), F.count("*").alias("rows")).where("rows > 1"))
     pairs = join_hot(banded, firsts, "band", "rows", BANDS * once.count()).where("mark <> first").select("mark", "first").distinct()
     pairs = materialize(pairs)
-    lows = pairs.join(once.select("mark", "low"), "mark")
-    others = pairs.groupBy("first").agg(F.count("*").alias("rows")).join(once.select(F.col("mark").alias("first"), F.col("low").alias("first_low")), "first")
-    met = join_hot(lows, others, "first", "rows", pairs.count()).select("mark", "low", "first_low")
+    met = pairs.select("mark").union(pairs.select("first")).distinct().join(once.drop("bands"), "mark")
+    lows = materialize(map_texts(_texts_of(labelled, materialize(met)), _lows, "mark long, low binary"))
+    others = pairs.groupBy("first").agg(F.count("*").alias("rows")).join(lows.select(F.col("mark").alias("first"), F.col("low").alias("first_low")), "first")
+    both = join_hot(pairs.join(lows, "mark"), others, "first", "rows", pairs.count()).select("mark", "low", "first_low")
 
     def similar(batches):
         import pyarrow as pa
@@ -273,32 +288,61 @@ def _distinct(marked: DataFrame) -> DataFrame:
             near = [m for m, x, y in zip(*(c.to_pylist() for c in batch.columns)) if _jaccard(x, y) >= SIMILAR]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.int64())], names=["mark"])
 
-    gone = met.mapInArrow(similar, "mark long").distinct()
-    return marked.join(once.join(gone, "mark", "left_anti").select("row"), "row").select("text", "toxic")
-
-
-def _sketch(cols):
-    out = {"row": cols["row"], "toxic": cols["toxic"], "digest": [], "mark": [], "bands": [], "low": []}
-    for text, toxic in zip(cols["text"], cols["toxic"]):
-        raw, words = (text or "").encode(), (text or "").lower().split()
-        runs = {xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))}
-        h = np.sort(np.fromiter(runs, np.uint64, len(runs)))
-        least = [int(((h ^ x) * (y | np.uint64(1))).min()) for x, y in _REHASH]
-        out["digest"].append(xxhash.xxh3_128_hexdigest(raw))
-        out["mark"].append(xxhash.xxh3_64_intdigest(raw, toxic & 0xFF) - 2**63)
-        out["bands"].append([xxhash.xxh3_64_intdigest(f"{toxic} {k} {least[2 * k]} {least[2 * k + 1]}") - 2**63 for k in range(BANDS)])
-        out["low"].append(h[:SKETCH].tobytes())
+    gone = both.mapInArrow(similar, "mark long").distinct()
+    kept = materialize(once.drop("bands").join(gone, "mark", "left_anti"))
+    return _texts_of(labelled, kept).select("text", "toxic")
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text`` joined to each row of ``wanted(doc_id, digest, ...)``; rows that repeat become one before they move."""
+    rows = maybe_in(docs, wanted, "doc_id").select("doc_id", F.md5("text").alias("digest"), "text")
+    return rows.groupBy("doc_id", "digest").agg(F.first("text").alias("text")).join(wanted, ["doc_id", "digest"])
+
+
+def _run_hashes(text: str) -> np.ndarray:
+    """Hashes of the text's different runs of five words, ascending; of the whole sequence if there are fewer words."""
+    words = text.lower().split()
+    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    h = np.zeros(max(5, len(words)), np.uint64)
+    h[: len(words)] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    n = len(h) - 4
+    runs = np.zeros(n, np.uint64)
+    for j in range(5):
+        runs = (runs ^ (runs >> np.uint64(29))) * _RUN_MULT + h[j : j + n]
+    runs ^= runs >> np.uint64(32)
+    return np.unique(runs * _RUN_MULT)
+
+
+def _bands(cols):
+    out = {"doc_id": cols["doc_id"], "digest": [], "bands": []}
+    for text in cols["text"]:
+        h = _run_hashes(text)
+        least = np.array([((h ^ x) * (y | np.uint64(1))).min() for x, y in _REHASH])
+        out["digest"].append(hashlib.md5(text.encode()).hexdigest())
+        out["bands"].append([xxhash.xxh3_64_intdigest(least[2 * k : 2 * k + 2].tobytes()) - 2**63 for k in range(BANDS)])
     return out
 
 
+def _lows(cols):
+    return {"mark": cols["mark"], "low": [_run_hashes(text)[:SKETCH].tobytes() for text in cols["text"]]}
+
+
 def _jaccard(x: bytes, y: bytes) -> float:
     a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     least = np.union1d(a, b)[:SKETCH]
     return float((np.isin(least, a) & np.isin(least, b)).mean())
 
 
+def _counts(marked: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``feature, bad_texts, bad_words, good_texts, good_words`` of all candidates; ``""`` stands for all words."""
+    bad = materialize(_feature_counts(marked.where("toxic = 1"), model)).where((F.col("texts") >= MIN_TEXTS) | (F.col("feature") == ""))
+    good = _feature_counts(marked.where("toxic <> 1"), model, collect_bits(bad, "feature"))
+    named = [x.select("feature", F.col("texts").alias(f"{label}_texts"), F.col("words").alias(f"{label}_words")) for x, label in ((bad, "bad"), (good, "good"))]
+    return named[0].join(named[1], "feature", "left").fillna(0)
+
+
 def _lexicon(counts: DataFrame) -> dict[str, float] | None:
-    """Weights of the features that pass both tests, from all counted features; None without toxic texts."""
+    """Weights of the features that pass both tests, from the counts of all candidates; None without toxic texts."""
     whole = counts.where(F.col("feature") == "").first()
     if whole is None or not whole["bad_texts"]:
         return None
@@ -322,60 +366,79 @@ def _ratio(a: Column, n: int, b: Column, m: int) -> Column:
     return F.when(a / F.lit(float(n)) > b / F.lit(float(m)), ratio).otherwise(0.0)
 
 
-def _feature_counts(texts: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``feature, bad_texts, bad_words, good_texts, good_words``: toxic and other texts that hold a feature and its
+def _wanted(word: str, bits: bytes | None) -> list[str]:
+    """Features of the word that the filter holds.  A text that holds a word holds its beginnings, so once a beginning is
+    not a candidate no longer one is."""
+    if bits is None:
+        return features(word)
+    out = []
+    for k in PREFIXES:
+        if k < len(word):
+            if not has_bit(bits, word[:k] + "*"):
+                return out
+            out.append(word[:k] + "*")
+    return [*out, word] if len(word) > 2 and has_bit(bits, word) else out
+
+
+def _feature_counts(marked: DataFrame, model: ToxicityModel, bits: bytes | None = None) -> DataFrame:
+    """``feature, texts, words``: texts that hold a feature (with ``bits``, one that the filter holds) and its
     occurrences, summed per task first; ``""`` stands for all.  A task holds at most HELD features and passes its sums on."""
 
     def count(batches):
         import pyarrow as pa
 
-        in_texts, in_words, totals, known, held = (Counter(), Counter()), (Counter(), Counter()), (Counter(), Counter()), {}, 0
+        in_texts, in_words, known, held = Counter(), Counter({"": 0}), {}, 0
+
+        def learn(fresh):
+            calm = not _STRETCHED.search(" ".join(fresh))
+            for token in fresh:
+                words = [token] if calm and token.isalpha() else token_words(token, model)
+                known[token] = [words, tuple(f for w in words for f in _wanted(w, bits)), 0]
 
         def settle():
-            for label in (0, 1):
-                for token, n in totals[label].items():
-                    words, own = known[token]
-                    in_words[label][""] += n * len(words)
-                    for f in own:
-                        in_words[label][f] += n
-                totals[label].clear()
+            for words, own, n in known.values():
+                in_words[""] += n * len(words)
+                for f in own:
+                    in_words[f] += n
             known.clear()
 
         def sums():
-            names = list(in_texts[0].keys() | in_texts[1].keys())
-            columns = [pa.array([c[f] for f in names], pa.int64()) for c in (in_texts[1], in_words[1], in_texts[0], in_words[0])]
-            for c in (*in_texts, *in_words):
-                c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], names=["feature", *COUNTS])
+            names = list(in_texts.keys() | {""})
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[f] for f in names], pa.int64()) for c in (in_texts, in_words))], names=["feature", "texts", "words"])
+            in_texts.clear()
+            in_words.clear()
+            return out
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                low, label = (text or "").lower(), int(toxic == 1)
+            for text in batch.column(0).to_pylist():
+                low = text.lower()
                 counts = Counter(low.split())
+                fresh = [t for t in counts if t not in known]
+                learn(fresh)
+                held += sum(map(len, fresh))
                 seen = {""}
                 for token, n in counts.items():
-                    if token not in known:
-                        words, held = token_words(token, model), held + len(token)
-                        known[token] = words, tuple(f for w in words for f in features(w))
-                    totals[label][token] += n
-                    seen.update(known[token][1])
+                    entry = known[token]
+                    entry[2] += n
+                    seen.update(entry[1])
                 apart = spaced_words(low, model)
                 if apart:
                     for word in apart.difference(*(known[token][0] for token in counts)):
-                        own = features(word)
+                        own = _wanted(word, bits)
                         seen.update(own)
-                        in_words[label].update(["", *own])
-                in_texts[label].update(seen)
-                if len(known) >= REMEMBERED or held >= REMEMBERED * REMEMBERED_CHARS or len(in_texts[0]) + len(in_texts[1]) >= HELD:
+                        in_words.update(["", *own])
+                in_texts.update(seen)
+                if len(known) >= REMEMBERED or held >= REMEMBERED * REMEMBERED_CHARS or len(in_texts) >= HELD:
                     settle()
                     held = 0
-                if len(in_texts[0]) + len(in_texts[1]) >= HELD:
+                if len(in_texts) >= HELD:
                     yield sums()
         settle()
         yield sums()
 
-    rows = texts.select("text", "toxic").mapInArrow(count, "feature string, " + ", ".join(f"{c} long" for c in COUNTS))
-    return rows.groupBy("feature").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    rows = marked.select("text").mapInArrow(count, "feature string, texts long, words long")
+    none = marked.sparkSession.createDataFrame([("", 0, 0)], "feature string, texts long, words long")
+    return rows.union(none).groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("words").alias("words"))
 
 
 def _chances(marked: DataFrame, model: ToxicityModel) -> list[float]:
@@ -489,7 +552,7 @@ def token_words(token: str, model: ToxicityModel) -> list[str]:
 
 def spaced_words(low: str, model: ToxicityModel) -> set[str]:
     """Words written with their letters apart; a run's first or last character may be a word beside it (``a m o r o n``)."""
-    if not _MAYBE_APART.search(low):
+    if not _SINGLE.search(low) or not _MAYBE_APART.search(low):
         return set()
     runs = {_GAPS.sub(" ", spaced) for spaced in _APART.findall(low)}
     ends = {part for run in runs if run.count(" ") > 2 for part in (run.split(" ", 1)[1], run.rsplit(" ", 1)[0])}

@@ -210,7 +210,9 @@ def test_only_verified_copies_collapse(spark):
     long = list(rng.choice(words, 300))
     near = [" ".join([*long[:k], "changed", *long[k + 1 :]]) for k in range(20, 280, 20)]
     rows = [(t, 0) for t in shared + shared[:9]] + [(t, 1) for t in near] + [(shared[0], 1), (None, 0), ("", 0)]
-    left = _distinct(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "text string, toxic int, row long")).collect()
+    docs = spark.createDataFrame([(i, t or "") for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(rows)], "doc_id long, toxic int")
+    left = _distinct(docs.union(docs.limit(5)), marks).collect()
     got = [(r.text or "", r.toxic) for r in left]
     assert sorted(t for t, x in got if not x) == sorted([*shared, ""])
     assert (shared[0], 1) in got and 1 <= sum(t in near for t, _ in got) <= 3
@@ -231,6 +233,19 @@ def test_disguises_of_any_length_are_split_and_undone(toxic_model, text, words):
     assert all(any(w.startswith(x[:3]) for w in toxic_model.weigh(text)) for x in words)
 
 
+def test_a_filter_passes_all_keys_and_few_others(spark):
+    from tabsift.llm.common import collect_bits, has_bit, maybe_in
+
+    keys = spark.range(0, 30_000, 3).selectExpr("id as doc_id", "concat('w', id) as word").union(spark.sql("select null, null"))
+    rows = spark.range(30_000).selectExpr("id as doc_id", "id % 7 as more").union(spark.sql("select null, 1"))
+    passed = {r.doc_id for r in maybe_in(rows, keys, "doc_id").collect()}
+    assert set(range(0, 30_000, 3)) <= passed and len(passed) < 10_100 and None not in passed
+    bits = collect_bits(keys, "word")
+    assert all(has_bit(bits, f"w{i}") for i in range(0, 30_000, 3))
+    assert sum(has_bit(bits, f"w{i}") for i in range(1, 30_000, 3)) < 50
+    assert not maybe_in(rows, keys.limit(0), "doc_id").collect()
+
+
 def test_a_settled_path_is_the_best_path():
     """A decoding that is settled on the way equals one that is settled at the end only."""
     from tabsift.llm import toxicity as T

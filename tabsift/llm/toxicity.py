@@ -115,8 +115,11 @@ class ToxicityModel:
             plain.clear()
         counts = Counter(low.split())
         fresh = [t for t in counts if t not in plain and t not in known]
-        calm = not _STRETCHED.search(" ".join(fresh))
+        calm, heads = not _STRETCHED.search(" ".join(fresh)), self._heads()
         for token in fresh:
+            if calm and token[:3] not in heads and token.rstrip(_RIM).isalpha() and len(token) <= REMEMBERED_CHARS:
+                plain.add(token)  # as _hits says of most tokens
+                continue
             hits = self._hits(token, calm)
             if len(token) > REMEMBERED_CHARS:
                 long[token] = hits
@@ -495,28 +498,26 @@ def decode(token: str, log_p: np.ndarray, gaps: bool = False) -> str:
     With ``gaps`` the best path also splits the token into words.  What all paths share is set aside every SETTLE
     characters, so a token of any length is decoded in time that follows its length.
     """
-    s2 = SYMBOLS
-    states: dict[tuple[str, str], tuple[float, str]] = {("", ""): (0.0, "")}
+    states: dict[tuple[str, str], tuple[float, str, int]] = {("", ""): (0.0, "", 0)}  # score, text, place of the context in log_p
     settled: list[str] = []
     for i, options in enumerate(_steps(token, 0, gaps)):
-        nxt: dict[tuple[str, str], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
-            base = ((_symbol(a) if a else 0) * s2 + (_symbol(b) if b else 0)) * s2
-            for letter, cost in options:
+        nxt: dict[tuple[str, str], tuple[float, str, int]] = {}
+        signs = [(letter, cost, _symbol(letter) if letter else 0) for letter, cost in options]
+        for (a, b), (score, text, base) in states.items():
+            for letter, cost, sign in signs:
                 if letter:
-                    key, value, word = (b, letter), score - cost + float(log_p[base + _symbol(letter)]), text + letter
+                    key, value = (b, letter), score - cost + float(log_p[base + sign])
+                    if key not in nxt or value > nxt[key][0]:
+                        nxt[key] = (value, text + letter, (base // SYMBOLS % SYMBOLS * SYMBOLS + sign) * SYMBOLS)
                 else:
-                    key, value, word = (a, b), score - cost, text
-                if key not in nxt or value > nxt[key][0]:
-                    nxt[key] = (value, word)
+                    key, value = (a, b), score - cost
+                    if key not in nxt or value > nxt[key][0]:
+                        nxt[key] = (value, text, base)
         states = nxt
-        if i % SETTLE == SETTLE - 1 and (shared := commonprefix([text for _, text in states.values()])):
+        if i % SETTLE == SETTLE - 1 and (shared := commonprefix([text for _, text, _ in states.values()])):
             settled.append(shared)
-            states = {key: (score, text[len(shared) :]) for key, (score, text) in states.items()}
-    ends = []
-    for (a, b), (score, text) in states.items():
-        base = ((_symbol(a) if a else 0) * s2 + (_symbol(b) if b else 0)) * s2
-        ends.append((score + float(log_p[base]), text))
+            states = {key: (score, text[len(shared) :], base) for key, (score, text, base) in states.items()}
+    ends = [(score + float(log_p[base]), text) for score, text, base in states.values()]
     return "".join(settled) + max(ends)[1]
 
 

@@ -87,8 +87,9 @@ def anchored(docs: DataFrame, id_col: str, text_col: str, length: int, width: in
 # --- the index of a bucket ----------------------------------------------------------------------------------
 
 
-def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array by prefix doubling from 8-byte keys; only suffixes not yet told apart are sorted again.  Also the keys."""
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Suffix array by prefix doubling from 8-byte keys; only suffixes not yet told apart are sorted again.  Also the keys, and
+    the ranks of the prefixes of 8, 16, 32, ... bytes as far as some of them are equal."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     keys = np.zeros(n, np.uint64)
@@ -102,7 +103,9 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank[sa] = first
     done = 8
     active = np.flatnonzero(~(head & np.append(head[1:], True)))
+    levels = []
     while len(active):
+        levels.append(rank.astype(np.int32))
         pos = sa[active]
         follow = np.where(pos + done < n, rank[np.minimum(pos + done, n - 1)] + 1, 0)
         key = rank[pos] * np.int64(n + 1) + follow
@@ -113,30 +116,27 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank[pos] = active[np.maximum.accumulate(np.where(head, np.arange(len(pos)), 0))]
         active = active[~(head & np.append(head[1:], True))]
         done *= 2
-    return sa, keys
+    return sa, keys, levels
 
 
-def _common(keys: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at p and q (p != q), eight bytes at a time."""
+def _common(keys: np.ndarray, levels: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at p and q (p != q): from the longest prefixes that are known to be equal
+    down to eight bytes, then by the bytes of the keys, so the steps follow the logarithm of the length."""
     n = len(keys)
     out = np.zeros(len(p), np.int64)
-    live = np.arange(len(p))
-    while len(live):
-        a, b = p[live] + out[live], q[live] + out[live]
-        inside = np.maximum(a, b) < n
-        live, a, b = live[inside], a[inside], b[inside]
-        x = keys[a] ^ keys[b]
-        same = x == 0
-        rest = x[~same]
-        more = np.zeros(len(rest), np.int64)
-        open_ = np.ones(len(rest), bool)
-        for k in range(8):
-            open_ &= (rest >> np.uint64(56 - 8 * k)) & np.uint64(255) == 0
-            more += open_
-        out[live[~same]] += more
-        live = live[same]
-        out[live] += 8
-    return np.minimum(out, n - np.maximum(p, q))
+    later = np.maximum(p, q)
+    for k in range(len(levels) - 1, -1, -1):
+        live = np.flatnonzero(later + out < n)
+        same = levels[k][p[live] + out[live]] == levels[k][q[live] + out[live]]
+        out[live[same]] += 8 << k
+    live = np.flatnonzero(later + out < n)
+    differ = keys[p[live] + out[live]] ^ keys[q[live] + out[live]]
+    more, open_ = np.zeros(len(live), np.int64), np.ones(len(live), bool)
+    for k in range(8):
+        open_ &= (differ >> np.uint64(56 - 8 * k)) & np.uint64(255) == 0
+        more += open_
+    out[live] += more
+    return np.minimum(out, n - later)
 
 
 class RunIndex:
@@ -144,7 +144,7 @@ class RunIndex:
 
     def __init__(self, text: np.ndarray):
         self.text = text
-        sa, keys = suffix_array(text)
+        sa, keys, levels = suffix_array(text)
         bwt = np.where(sa > 0, text[sa - 1].astype(np.int16), np.int16(-1))
         starts = np.flatnonzero(np.diff(bwt, prepend=np.int16(-2)) != 0)
         ends = np.append(starts[1:], len(bwt)) - 1
@@ -152,14 +152,14 @@ class RunIndex:
         self.first_sample, self.last_sample = sa[starts], sa[ends]
         before = np.where(starts > 0, sa[starts - 1], -1)
         after = np.where(ends + 1 < len(sa), sa[np.minimum(ends + 1, len(sa) - 1)], -1)
-        self.first_match = self._matches(keys, self.first_sample, before)
-        self.last_match = self._matches(keys, self.last_sample, after)
+        self.first_match = self._matches(keys, levels, self.first_sample, before)
+        self.last_match = self._matches(keys, levels, self.last_sample, after)
 
     @staticmethod
-    def _matches(keys, p, q):
+    def _matches(keys, levels, p, q):
         out = np.zeros(len(p), np.int64)
         real = q >= 0
-        out[real] = _common(keys, p[real], q[real])
+        out[real] = _common(keys, levels, p[real], q[real])
         return out
 
     def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:

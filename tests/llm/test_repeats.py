@@ -1,5 +1,7 @@
 import hashlib
 
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -63,10 +65,20 @@ def test_index_finds_all_repeats(texts, length):
 @given(st.binary(min_size=1, max_size=200))
 def test_suffix_array(data):
     data = bytes(b | 1 for b in data)
-    sa, _ = suffix_array(np.frombuffer(data, np.uint8))
+    sa, *_ = suffix_array(np.frombuffer(data, np.uint8))
     assert sa.tolist() == sorted(range(len(data)), key=lambda k: data[k:])
 
 
+@pytest.mark.parametrize("period", [1, 13, 500, 4099])
+def test_long_matches_of_periodic_text_are_found_quickly(period):
+    """A statistic on periodic text is nearly the length of the text; it is found in steps of its logarithm."""
+    text = np.tile(np.random.default_rng(period).integers(97, 123, period).astype(np.uint8), 500_000 // period)
+    start = time.process_time()
+    up, down = RunIndex(text).matching_statistics()
+    assert time.process_time() - start < 5  # 10 s and more when matches are walked along
+    assert np.maximum(up, down)[:-period].tolist() == list(range(len(text) - period, 0, -1))
+
+
 def test_runs_are_few_on_repetitive_text():
     body = np.random.default_rng(2).integers(97, 123, 2000).astype(np.uint8).tobytes()
     index = RunIndex(np.frombuffer(body * 20, np.uint8))

@@ -94,7 +94,6 @@ def test_best_fit_decreasing(lengths):
         k = min(fits, key=lambda k: free[k])
         free[k] -= lengths[i]
         plain[k].append(i)
-    assert [sum(lengths[i] for i in b) for b in bins] and True if bins else not plain
     assert sorted(sum(lengths[i] for i in b) for b in bins) == sorted(sum(lengths[i] for i in b) for b in plain)
 
 

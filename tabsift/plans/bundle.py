@@ -19,7 +19,8 @@ from tabsift.functions.exprs import qcol
 from tabsift.operators import clean as C
 from tabsift.operators.evaluate import compare_configs
 from tabsift.operators.fitted import CleanerModel
-from tabsift.plans.recipes import clean, normalize, prepare
+from tabsift.operators.split import assign_split
+from tabsift.plans.recipes import HALF, clean, distinct_written, normalize, prepare
 from tabsift.sources.delimited import WHOLE_ROW, content_digests
 from tabsift.spec import ForestConfig, TableSpec, default_configs
 
@@ -78,7 +79,8 @@ def run_bundle(
     if bundle.has("run/_SUCCESS"):
         df = C.cast_to_schema(df, spec.schema) if spec.schema is not None else df
         cleaner, known = CleanerModel.load(f"{path}/cleaner"), bundle.get("run")
-        prepared = prepare(cleaner.transform(C.deduplicate(df)), spec, select_n=None, categoricals="encode", invalid="skip")
+        halved = distinct_written(assign_split(df, spec.key, spec.split_ratio, spec.seed, HALF))  # as clean does
+        prepared = prepare(cleaner.transform(halved.drop(HALF)), spec, select_n=None, categoricals="encode", invalid="skip")
         features, cats = known["features"], known["categoricals"]
     else:
         cleaned = clean(df, spec, fit_on="train")

@@ -97,9 +97,11 @@ class ToxicityModel:
     tokens: dict[str, tuple] = field(default_factory=dict)  # (word, weight) pairs of tokens that have any
     plain: set[str] = field(default_factory=set)  # tokens without any
     heads: frozenset | None = None
+    begins: frozenset | None = None
 
     def __getstate__(self):
-        return {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances, "memory": {}, "tokens": {}, "plain": set(), "heads": None}
+        own = {"log_p": self.log_p.astype(np.float32), "lexicon": self.lexicon, "chances": self.chances}
+        return own | {"memory": {}, "tokens": {}, "plain": set(), "heads": None, "begins": None}
 
     def weight(self, word: str) -> float:
         """The largest weight of the word's features; 0 if none is in the lexicon."""
@@ -114,12 +116,14 @@ class ToxicityModel:
             known.clear()
             plain.clear()
         counts = Counter(low.split())
-        fresh = [t for t in counts if t not in plain and t not in known]
-        calm, heads = not _STRETCHED.search(" ".join(fresh)), self._heads()
+        rest = counts.keys() - plain
+        fresh = [t for t in rest if t not in known]
+        calm, heads, begins = not _STRETCHED.search(" ".join(fresh)), self._heads(), self._begins()
         for token in fresh:
-            if calm and token[:3] not in heads and token.rstrip(_RIM).isalpha() and len(token) <= REMEMBERED_CHARS:
-                plain.add(token)  # as _hits says of most tokens
-                continue
+            if token[:3] not in heads or begins.isdisjoint((token[:3], token[:4], token[:5])):
+                if token.rstrip(_RIM).isalpha() and len(token) <= REMEMBERED_CHARS and (calm or not _STRETCHED.search(token)):
+                    plain.add(token)  # as _hits says of most tokens
+                    continue
             hits = self._hits(token, calm)
             if len(token) > REMEMBERED_CHARS:
                 long[token] = hits
@@ -127,7 +131,7 @@ class ToxicityModel:
                 known[token] = hits
             else:
                 plain.add(token)
-        for token in counts.keys() - plain:
+        for token in rest:
             for w, x in known.get(token) or long.get(token, ()):
                 out[w] = out.get(w, 0.0) + x * counts[token]
         for w in spaced_words(low, self):
@@ -138,11 +142,11 @@ class ToxicityModel:
     def _hits(self, token: str, calm: bool) -> tuple:
         """Weighed words of the token; ``calm`` says that no letter of it is stretched."""
         core = token.strip(_RIM)
-        heads = self._heads()
-        if core.isalpha() and core[:3] not in heads and token[0] == core[0] and (calm or not _STRETCHED.search(core)):
+        begins = self._begins()
+        if core.isalpha() and begins.isdisjoint((core[:3], core[:4], core[:5])) and token[0] == core[0] and (calm or not _STRETCHED.search(core)):
             return ()  # a plain word that no feature begins
         words = _WORD.findall(token)
-        if not any(w[:3] in heads for w in words):
+        if all(begins.isdisjoint((w[:3], w[:4], w[:5])) for w in words):
             if not words or (not _LOOKALIKE.search(token) and (calm or not _STRETCHED.search(token))):
                 return ()  # nothing but its words, which no feature begins
             if not token.isalpha() and not self._reaches(token):
@@ -169,6 +173,12 @@ class ToxicityModel:
             self.heads = frozenset(f[:3] for f in self.lexicon)
         return self.heads
 
+    def _begins(self) -> frozenset[str]:
+        """First five letters of the lexicon's features, all of a shorter one's: a word that begins with none has no weight."""
+        if self.begins is None:
+            self.begins = frozenset(f.rstrip("*")[:5] for f in self.lexicon)
+        return self.begins
+
     def chance(self, weights: dict[str, float]) -> float:
         return self.chances[_bin(sum(weights.values()))]
 
@@ -316,11 +326,15 @@ def _run_hashes(text: str) -> np.ndarray:
     return np.unique(runs * _RUN_MULT)
 
 
+def _least(h: np.ndarray) -> np.ndarray:
+    return ((h ^ _REHASH[:, :1]) * (_REHASH[:, 1:] | np.uint64(1))).min(1, keepdims=True)
+
+
 def _bands(cols):
     out = {"doc_id": cols["doc_id"], "digest": [], "bands": []}
     for text in cols["text"]:
         h = _run_hashes(text)
-        least = np.array([((h ^ x) * (y | np.uint64(1))).min() for x, y in _REHASH])
+        least = np.concatenate([_least(h[i : i + 4096]) for i in range(0, len(h), 4096)], axis=1).min(1)
         out["digest"].append(hashlib.md5(text.encode()).hexdigest())
         out["bands"].append([xxhash.xxh3_64_intdigest(least[2 * k : 2 * k + 2].tobytes()) - 2**63 for k in range(BANDS)])
     return out
@@ -369,18 +383,26 @@ def _ratio(a: Column, n: int, b: Column, m: int) -> Column:
     return F.when(a / F.lit(float(n)) > b / F.lit(float(m)), ratio).otherwise(0.0)
 
 
-def _wanted(word: str, bits: bytes | None) -> list[str]:
-    """Features of the word that the filter holds.  A text that holds a word holds its beginnings, so once a beginning is
-    not a candidate no longer one is."""
+def _wanted(word: str, bits: bytes | None, begun: dict[str, tuple]) -> tuple[str, ...]:
+    """Features of the word that the filter holds; ``begun`` remembers those of its beginnings."""
     if bits is None:
-        return features(word)
-    out = []
-    for k in PREFIXES:
-        if k < len(word):
-            if not has_bit(bits, word[:k] + "*"):
-                return out
-            out.append(word[:k] + "*")
-    return [*out, word] if len(word) > 2 and has_bit(bits, word) else out
+        return tuple(features(word))
+    if len(word) < 3:
+        return ()
+    stem = word[: min(PREFIXES[-1], len(word) - 1)]
+    own, all_held = begun.get(stem) or _beginnings(stem, bits, begun)
+    return (*own, word) if all_held and has_bit(bits, word) else own
+
+
+def _beginnings(stem: str, bits: bytes, begun: dict[str, tuple]) -> tuple[tuple[str, ...], bool]:
+    """Features that are the stem or begin it, up to the first that the filter lacks, and whether it lacks none.  A text that
+    holds a word holds its beginnings, so once a beginning is not a candidate no longer one is."""
+    if len(stem) < PREFIXES[0]:
+        return (), True
+    own, all_held = begun.get(stem[:-1]) or _beginnings(stem[:-1], bits, begun)
+    all_held = all_held and has_bit(bits, stem + "*")
+    begun[stem] = ((*own, stem + "*") if all_held else own, all_held)
+    return begun[stem]
 
 
 def _feature_counts(marked: DataFrame, model: ToxicityModel, bits: bytes | None = None) -> DataFrame:
@@ -390,13 +412,17 @@ def _feature_counts(marked: DataFrame, model: ToxicityModel, bits: bytes | None
     def count(batches):
         import pyarrow as pa
 
-        in_texts, in_words, known, held = Counter(), Counter({"": 0}), {}, 0
+        in_texts, in_words, known, begun, held = Counter(), Counter({"": 0}), {}, {}, 0
 
         def learn(fresh):
             calm = not _STRETCHED.search(" ".join(fresh))
             for token in fresh:
-                words = [token] if calm and token.isalpha() else token_words(token, model)
-                known[token] = [words, tuple(f for w in words for f in _wanted(w, bits)), 0]
+                core = token.rstrip(_RIM)
+                if core.isalpha() and (calm or not _STRETCHED.search(core)):
+                    known[token] = [(core,), _wanted(core, bits, begun), 0]  # as token_words says of most tokens
+                    continue
+                words = token_words(token, model)
+                known[token] = [words, tuple(f for w in words for f in _wanted(w, bits, begun)), 0]
 
         def settle():
             for words, own, n in known.values():
@@ -404,6 +430,7 @@ def _feature_counts(marked: DataFrame, model: ToxicityModel, bits: bytes | None
                 for f in own:
                     in_words[f] += n
             known.clear()
+            begun.clear()
 
         def sums():
             names = list(in_texts.keys() | {""})
@@ -427,7 +454,7 @@ def _feature_counts(marked: DataFrame, model: ToxicityModel, bits: bytes | None
                 apart = spaced_words(low, model)
                 if apart:
                     for word in apart.difference(*(known[token][0] for token in counts)):
-                        own = _wanted(word, bits)
+                        own = _wanted(word, bits, begun)
                         seen.update(own)
                         in_words.update(["", *own])
                 in_texts.update(seen)
@@ -498,6 +525,7 @@ def decode(token: str, log_p: np.ndarray, gaps: bool = False) -> str:
     With ``gaps`` the best path also splits the token into words.  What all paths share is set aside every SETTLE
     characters, so a token of any length is decoded in time that follows its length.
     """
+    at = memoryview(np.ascontiguousarray(log_p))  # gives Python floats
     states: dict[tuple[str, str], tuple[float, str, int]] = {("", ""): (0.0, "", 0)}  # score, text, place of the context in log_p
     settled: list[str] = []
     for i, options in enumerate(_steps(token, 0, gaps)):
@@ -506,7 +534,7 @@ def decode(token: str, log_p: np.ndarray, gaps: bool = False) -> str:
         for (a, b), (score, text, base) in states.items():
             for letter, cost, sign in signs:
                 if letter:
-                    key, value = (b, letter), score - cost + float(log_p[base + sign])
+                    key, value = (b, letter), score - cost + at[base + sign]
                     if key not in nxt or value > nxt[key][0]:
                         nxt[key] = (value, text + letter, (base // SYMBOLS % SYMBOLS * SYMBOLS + sign) * SYMBOLS)
                 else:
@@ -517,7 +545,7 @@ def decode(token: str, log_p: np.ndarray, gaps: bool = False) -> str:
         if i % SETTLE == SETTLE - 1 and (shared := commonprefix([text for _, text, _ in states.values()])):
             settled.append(shared)
             states = {key: (score, text[len(shared) :], base) for key, (score, text, base) in states.items()}
-    ends = [(score + float(log_p[base]), text) for score, text, base in states.values()]
+    ends = [(score + at[base], text) for score, text, base in states.values()]
     return "".join(settled) + max(ends)[1]
 
 

@@ -259,3 +259,44 @@ def test_a_settled_path_is_the_best_path():
         assert short == [decode(token, log_p), decode(token, log_p, gaps=True)]
     finally:
         T.SETTLE = whole
+
+
+def test_words_are_weighed_only_where_a_feature_begins(toxic_model, monkeypatch):
+    """Words that share three letters with a feature but not its beginning, and texts with one stretched word, take the short way."""
+    model = ToxicityModel(toxic_model.log_p, {"moron": 3.0, "scum*": 2.5, "vermin*": 2.0, "rat": 2.0}, [0.0] * BINS)
+    looked, hits = [], ToxicityModel._hits
+    monkeypatch.setattr(ToxicityModel, "_hits", lambda self, token, calm: looked.append(token) or hits(self, token, calm))
+    text = "More moral, morose mornings: scuba scurvy. Vermouth rather moron scumbag, vermin verminous rat rats so"
+    for low in (text, text + " soooo", text + " sooo mo0rning sc.um m0r0n 'rat' verm"):
+        want = {w: x * n for w, n in restored_words(low, model).items() if (x := model.weight(w))}
+        assert model.weigh(low) == want and {"moron", "scumbag", "verminous", "rat"} <= set(want)
+    assert not {"more", "moral,", "morose", "mornings:", "scuba", "scurvy.", "vermouth", "so", "verm"} & set(looked)
+
+
+def test_shared_beginnings_are_looked_up_once(monkeypatch):
+    from tabsift.llm import toxicity as T
+
+    words = ["beginner", "beginners", "beginning", "begin", "beg", "be", "", "begonia", "begs", "question", "ünders", "beginnings"]
+    held, asked = {"beg*", "begi*", "begin*", "beginn*", "beginne*", "beginner", "beg", "que*", "quest*"}, []
+    monkeypatch.setattr(T, "has_bit", lambda bits, text: asked.append(text) or text in held)
+    begun = {}
+    for word in words * 2:
+        want = [f for k, f in ((k, word[:k] + "*") for k in T.PREFIXES if k < len(word)) if all(word[:j] + "*" in held for j in range(3, k + 1))]
+        want += [word] * (len(word) > 2 and word in held and len(want) == sum(k < len(word) for k in T.PREFIXES))
+        assert list(T._wanted(word, b"", begun)) == want
+        assert list(T._wanted(word, None, begun)) == T.features(word)
+    stars = [f for f in asked if f.endswith("*")]
+    assert len(stars) == len(set(stars))
+
+
+def test_bands_follow_the_smallest_hashes_of_all_runs():
+    import xxhash
+
+    from tabsift.llm import toxicity as T
+
+    text = " ".join(f"w{i * i % 7919}" for i in range(9000))
+    h = T._run_hashes(text)
+    least = np.array([((h ^ x) * (y | np.uint64(1))).min() for x, y in T._REHASH])
+    assert len(h) > 4096
+    (got,) = T._bands({"doc_id": [1], "text": [text]})["bands"]
+    assert got == [xxhash.xxh3_64_intdigest(least[2 * k : 2 * k + 2].tobytes()) - 2**63 for k in range(T.BANDS)]

@@ -11,6 +11,7 @@
 4. An owner with more text than a bucket holds is dealt over several buckets by text and position; each bucket passes
    on one place for each distinct string, and these are matched by 128-bit hash.  So nothing is capped and
    no task holds more than a bucket.
+5. Before anchors or whole texts are joined, a filter of fixed size tells which rows can match; only those move, and the joins are exact.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import BATCH_CHARS, join_hot, map_texts
+from .common import BATCH_CHARS, join_hot, map_texts, mark_maybe_in, maybe_in
 from .rolling import sliding, window_hashes
 
 LENGTH = 200
@@ -275,8 +276,7 @@ def match_across(length: int):
 
 def repeated_marks(docs: DataFrame, found: DataFrame, classes: DataFrame, id_col: str, text_col: str, length: int, width: int) -> DataFrame:
     """``doc_id, tag, starts array<array<int>>, ends array<array<int>>``: stretches of one representative of each distinct text."""
-    own = found.join(classes.select(F.col("low").alias("doc_id"), "text_key"), ["doc_id", "text_key"], "left_semi")
-    uses = own.select("doc_id", "tag", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select(
+    uses = representatives(found, classes).select("doc_id", "tag", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select(
         "doc_id", "tag", F.col("a.hashes").alias("hash"), F.col("a.places").alias("places")
     )
     counts = (
@@ -288,11 +288,13 @@ def repeated_marks(docs: DataFrame, found: DataFrame, classes: DataFrame, id_col
     owners = counts.groupBy("owner").agg(F.ceil(F.sum("n") / BUCKET_ANCHORS).cast("int").alias("salts"))
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
     buckets = max(1, -(-sums[0] // BUCKET_ANCHORS))
-    shared = join_hot(uses, counts.join(owners, "owner").select("hash", "owner", "salts", "rows"), "hash", "rows", sums[1])
+    of_hash = counts.join(owners, "owner").select("hash", "owner", "salts", "rows")
+    shared = join_hot(maybe_in(uses, counts, "hash"), of_hash, "hash", "rows", sums[1])
     per_text = shared.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("owner", "salts", "places")).alias("shared"))
-    texts = _texts(docs, id_col, text_col).join(classes.select(F.col("low").alias("doc_id"), "text_key"), ["doc_id", "text_key"], "left_semi")
+    per_text = materialize(per_text.join(_named(classes), ["doc_id", "tag"]))
+    texts = maybe_in(_texts(docs, id_col, text_col), per_text, "text_key")
     pieces = map_texts(
-        texts.join(per_text, ["doc_id", "tag"]).select("doc_id", "tag", "text", "shared"),
+        texts.join(per_text, ["doc_id", "tag", "text_key"]).select("doc_id", "tag", "text", "shared"),
         _cut_pieces(buckets, length, width),
         "bucket long, owner long, salts int, doc_id long, tag long, start int, piece binary",
     )
@@ -306,6 +308,18 @@ def repeated_marks(docs: DataFrame, found: DataFrame, classes: DataFrame, id_col
     )
 
 
+def representatives(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of ``found`` that have the smallest id of their text.  A row whose text is surely there once is one, and stays where it is."""
+    told = mark_maybe_in(found, classes.where(F.col("copies") > 1), "text_key", "copied")
+    low = classes.select(F.col("low").alias("doc_id"), "text_key")
+    return told.where(~F.col("copied")).unionByName(told.where("copied").join(low, ["doc_id", "text_key"], "left_semi")).drop("copied")
+
+
+def _named(classes: DataFrame) -> DataFrame:
+    """``doc_id, tag, text_key`` of the representative of each distinct text."""
+    return classes.select(F.col("low").alias("doc_id"), _tag(F.hex("text_key")).alias("tag"), "text_key")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     key = F.sha2(F.col(text_col), 256)
     return docs.select(
@@ -364,10 +378,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = materialize(found.groupBy("text_key").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies")))
     total = classes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     marks = repeated_marks(docs, found, classes, id_col, text_col, length, width)
-    texts = _texts(docs, id_col, text_col)
-    single = classes.where(F.col("copies") == 1).select(F.col("low").alias("doc_id"), "text_key", _tag(F.hex("text_key")).alias("tag"))
+    marks = materialize(marks.join(_named(classes.where(F.col("copies") == 1)), ["doc_id", "tag"]))
+    texts = maybe_in(_texts(docs, id_col, text_col), marks, "text_key")
     marked = map_texts(
-        texts.join(marks.join(single, ["doc_id", "tag"]), ["doc_id", "tag", "text_key"]),
+        texts.join(marks, ["doc_id", "tag", "text_key"]),
         _cut_out,
         "doc_id long, text_key binary, n_removed long, spans array<struct<first: int, last: int>>, cut_sha256 string"
         + ", kept binary" * with_kept,

@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import time
 
 import numpy as np
@@ -49,6 +50,43 @@ def test_null_ids_and_empty_table(spark, empty):
     assert remove_repeats(empty).count() == 0
 
 
+def shuffle_files(spark):
+    """The shuffle files that the session has on disk, with their bytes."""
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f: f.stat().st_size for d in dirs for f in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_only_texts_with_something_shared_are_moved(spark, tmp_path):
+    """Joins of whole texts are told beforehand which of them can match; the others write nothing to disk."""
+    rng = np.random.default_rng(31)
+    word = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes().decode()
+    shared = word(300)
+    texts = [word(10_000) for _ in range(200)] + [f"A{shared}B", f"C{word(900)}D{shared}E"] + [word(250) + "!"] * 2
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to be broadcast
+    try:
+        before = shuffle_files(spark)
+        got = {r[0]: r[2] for r in run(docs)}
+        moved = sum(size for file, size in shuffle_files(spark).items() if file not in before)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {i: 0 for i in range(200)} | {200: 300, 201: 300, 202: 251, 203: 251}
+    assert moved < 1_500_000  # of 2 MB of texts; the last join alone left 2 MB on disk when it moved them all
+
+
+def test_rows_are_marked_by_the_filter(spark):
+    from tabsift.llm.common import mark_maybe_in
+
+    rows = spark.createDataFrame([(i, str(i)) for i in [None, *range(2000)]] + [(7, "again")], "doc_id long, text string")
+    keys = rows.where("doc_id % 100 = 7").select("doc_id")
+    out = mark_maybe_in(rows, keys, "doc_id", "told").collect()
+    assert sorted(r.text for r in out) == sorted(r.text for r in rows.collect())
+    told = [r.doc_id for r in out if r.told]
+    assert None not in told and len(told) < 50 and told.count(7) == 2 and {r.doc_id for r in keys.collect()} <= set(told)
+    assert not any(r.told for r in mark_maybe_in(rows, keys.limit(0), "doc_id", "told").collect())
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("ab", max_size=40), min_size=1, max_size=6), st.integers(2, 12))
 def test_index_finds_all_repeats(texts, length):
